@@ -1,0 +1,150 @@
+"""The whole job on landed JSON documents, with the awkward inputs of real landings."""
+
+import json
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from hourstar.operators.quality import QualityError
+from hourstar.plans.air_quality import (
+    Job, audit, build, hourly_series, open_star, published, run,
+)
+from hourstar.sources.landing import (
+    LandingError, explode_readings, land, landed_files, landing_status, read_landed, reading_documents, require_landed,
+)
+from hourstar.sources.lists import entities_from_text
+from hourstar.operators.series import clean_readings
+
+START = 1609434000  # 2021-01-01 00:00 in Bangkok
+HOUR = 3600
+
+
+def document(values, lat=13.7525, lon=100.4935, start=START):
+    """One document; ``values`` maps an offset in seconds to a reading."""
+    items = [
+        {"main": {"aqi": 1}, "components": {"co": 1.0, "pm2_5": v}, "dt": start + offset}
+        for offset, v in values
+    ]
+    return {"coord": {"lon": lon, "lat": lat}, "list": items}
+
+
+@pytest.fixture
+def raw(tmp_path):
+    folder = tmp_path / "air_quality"
+    folder.mkdir()
+    hours = [(h * HOUR, 10.0 + h) for h in range(48)]
+    (folder / "Bangkok.json").write_text(json.dumps(document(hours)))
+    awkward = [
+        (0, 0.045),                # rounds in two steps to 0.1
+        (HOUR, -9999),             # dropped, refilled
+        (2 * HOUR, None),          # dropped, refilled
+        (3 * HOUR, 123456789012.5),  # too wide, becomes null
+        (4 * HOUR + 60, 77.0),     # off the grid
+        (5 * HOUR, 30.0), (5 * HOUR, 20.0),  # two readings of one hour
+        (6 * HOUR, 600.0),         # above the last band
+        (-HOUR, 500.0), (48 * HOUR, 500.0),  # outside the range
+    ]
+    (folder / "Chiang Mai.json").write_text(json.dumps(document(awkward, 18.7883, 98.9853)))
+    (folder / "A+B 100%.json").write_text(json.dumps(document(hours, 7.1, 100.6)))
+    return folder
+
+
+def job(raw, tmp_path, **more):
+    return Job(str(raw), str(tmp_path / "out"), "2021-01-01 00:00:00", "2021-01-02 23:00:00", **more)
+
+
+NAMES = "Bangkok,Chiang Mai,A+B 100%"
+
+
+def series(spark, raw, names=NAMES):
+    readings = clean_readings(explode_readings(read_landed(spark, str(raw))), "pm2_5")
+    return hourly_series(readings, entities_from_text(spark, names), "2021-01-01 00:00:00", "2021-01-02 23:00:00")
+
+
+def test_file_names_give_the_province(bangkok, raw):
+    assert {r.province_name for r in read_landed(bangkok, str(raw)).collect()} == set(NAMES.split(","))
+    assert {r.province_name for r in landed_files(bangkok, str(raw)).collect()} == set(NAMES.split(","))
+
+
+def test_awkward_readings(bangkok, raw):
+    rows = {
+        r.hour: r for r in series(bangkok, raw).filter("province_name = 'Chiang Mai'")
+        .withColumn("hour", ((F.unix_timestamp("datetime") - START) / HOUR).cast("int")).collect()
+    }
+    assert sorted(rows) == list(range(48))
+    mean = Decimal("162.5")  # (0.1 + 30 + 20 + 600) / 4, half up
+    assert rows[0].pm2_5 == Decimal("0.1")
+    assert [rows[h].pm2_5 for h in (1, 2, 3, 4, 47)] == [mean] * 5
+    assert rows[5].pm2_5 == Decimal("20.0")
+    assert rows[6].pm2_5 == Decimal("600.0")
+    assert rows[1].pm2_5_24h_avg == Decimal("81.3")
+    assert {(r.latitude, r.longitude) for r in rows.values()} == {(Decimal("18.7883"), Decimal("98.9853"))}
+
+
+def test_rolling_mean_uses_the_prefix_then_24_rows(bangkok, raw):
+    rows = series(bangkok, raw).filter("province_name = 'Bangkok'").orderBy("datetime").collect()
+    values = [r.pm2_5 for r in rows]
+    for k in (0, 1, 22, 23, 24, 47):
+        window = values[max(0, k - 23):k + 1]
+        assert rows[k].pm2_5_24h_avg == round(sum(window) / len(window), 1)
+
+
+def test_job_publishes_an_audited_star(bangkok, raw, tmp_path):
+    j = job(raw, tmp_path, database="report")
+    verdicts = run(bangkok, entities_from_text(bangkok, NAMES), j)
+    assert verdicts.filter("not passed").count() == 0
+    assert verdicts.count() == 60 + 4 + 3  # a schema check gives two verdicts; three foreign keys
+    tables = published(bangkok, j)
+    assert [tuple(r)[:2] for r in tables["dim_province"].orderBy("province_id").collect()] == [
+        (1, "A+B 100%"), (2, "Bangkok"), (3, "Chiang Mai")]
+    assert [tuple(r) for r in tables["dim_time"].orderBy("hour").collect()] == [(f"{h:02d}", h) for h in range(24)]
+    assert [r.day_of_week for r in tables["dim_date"].orderBy("date").collect()] == ["Fri", "Sat"]
+    facts = tables["fact_air_quality"].orderBy("record_id").collect()
+    assert [r.record_id for r in facts] == list(range(1, 3 * 48 + 1))
+    keys = [(r.record_date, r.record_time, r.province_id) for r in facts]
+    assert keys == sorted(keys) and keys[0] == ("20210101", "00", 1)
+    assert bangkok.table("report.fact_air_quality").count() == 144
+    # A second run replaces the first with the same content.
+    run(bangkok, entities_from_text(bangkok, NAMES), j)
+    again = published(bangkok, j)["fact_air_quality"]
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, facts))
+
+
+def test_province_without_readings_is_reported_not_fatal(bangkok, raw, tmp_path):
+    (raw / "Empty.json").write_text(json.dumps(document([])))
+    (raw / "Pretty.json").write_text(json.dumps(document([(0, 1.0)]), indent=2))
+    names = entities_from_text(bangkok, NAMES + ",Empty,Pretty")
+    j = job(raw, tmp_path)
+    version = build(bangkok, names, j)
+    status = {r.province_name: r.status for r in bangkok.read.parquet(f"{version}/landing").collect()}
+    assert status == {"Bangkok": "ok", "Chiang Mai": "ok", "A+B 100%": "ok", "Empty": "no readings",
+                      "Pretty": "no readings"}
+    assert open_star(bangkok, version, j)["dim_province"].count() == 3
+    failed = {(r.table, r.check) for r in audit(bangkok, version, j, 5).filter("not passed").collect()}
+    assert ("dim_province", "row_count") in failed
+    with pytest.raises(QualityError, match="row_count = 5, found 3"):
+        run(bangkok, names, j)
+    assert not (tmp_path / "out" / "current").exists()
+
+
+def test_missing_province_stops_the_job(bangkok, raw, tmp_path):
+    names = entities_from_text(bangkok, NAMES + ",Bang,Trat")
+    with pytest.raises(LandingError, match="2 of 5 missing: Bang, Trat"):
+        run(bangkok, names, job(raw, tmp_path))
+    empty = tmp_path / "nothing"
+    empty.mkdir()
+    with pytest.raises(LandingError, match="nothing"):
+        require_landed(names, landed_files(bangkok, str(empty)))
+
+
+def test_landed_documents_read_back(bangkok, raw, tmp_path):
+    flat = explode_readings(read_landed(bangkok, str(raw))).withColumn("dt", F.unix_timestamp("datetime"))
+    path = str(tmp_path / "landed")
+    land(reading_documents(flat.drop("datetime")), path)
+    back = explode_readings(read_landed(bangkok, path, by_folder=True))
+    columns = ["province_name", "datetime", "latitude", "longitude", "pm2_5"]
+    assert back.select(columns).exceptAll(flat.select(columns)).isEmpty()
+    assert flat.select(columns).exceptAll(back.select(columns)).isEmpty()
+    assert landing_status(entities_from_text(bangkok, NAMES), landed_files(bangkok, path, by_folder=True), back) \
+        .filter("status = 'ok'").count() == 3
