@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourstar.session import checkpoint, shuffle_partitions
+from hourstar.session import shuffle_partitions, stored
 
 # A lookup side of up to this many rows is broadcast; dimension rows are a few hundred bytes at most.
 BROADCAST_ROWS = 200_000
@@ -19,17 +19,16 @@ def dense_key(df: DataFrame, order: Sequence[str], key: str, key_type: str = "in
     """Number the rows 1..N in the order of ``order``, which must identify a row.
 
     Rows are range-partitioned and sorted, so no task sees more than its share, and numbered inside
-    each partition. The numbering is materialised before the partition sizes are taken from it:
-    sizes and rows then come from one layout, also when tasks are retried. Only one row per
-    partition is broadcast, and the large side is not shuffled again. The result keeps the order
-    of the key across partitions.
+    each partition. The numbering is stored before the partition sizes are taken from it: sizes
+    and rows then come from one layout, also when tasks are retried. Only one row per partition is
+    broadcast, and the large side is not shuffled again.
     """
     ranged = (
         df.repartitionByRange(shuffle_partitions(df.sparkSession), *order)
         .sortWithinPartitions(*order)
         .withColumn("_id", F.monotonically_increasing_id())
     )
-    numbered = checkpoint(ranged).withColumn("_part", F.shiftright("_id", _ROW_BITS))
+    numbered = stored(ranged, "numbered").withColumn("_part", F.shiftright("_id", _ROW_BITS))
     sizes = numbered.groupBy("_part").agg(F.count("*").alias("_size"))
     # One row per partition: this window is as small as the partition count.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -44,7 +43,7 @@ def lookup_join(df: DataFrame, lookup: DataFrame, on: str | Sequence[str], how:
     """Join a lookup table, broadcasting it only if a count proves it small.
 
     Beyond the bound it is an ordinary shuffle join, where AQE splits skewed partitions of ``df``.
-    ``lookup`` should be cheap to count: a stored or checkpointed table.
+    ``lookup`` should be cheap to count: a stored table.
     """
     small = lookup.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     return df.join(F.broadcast(lookup) if small else lookup, on, how)

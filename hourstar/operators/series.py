@@ -22,8 +22,9 @@ def drop_negative(df: DataFrame, value: str) -> DataFrame:
 
 
 def clean_readings(df: DataFrame, value: str) -> DataFrame:
-    """Two-decimal non-negative readings, rounded to one decimal."""
-    return drop_negative(df.withColumn(value, round_reading(F.col(value))), value)
+    """Non-negative readings, judged at two decimals and then rounded to one."""
+    two = df.withColumn(value, F.col(value).try_cast("decimal(10,2)"))
+    return drop_negative(two, value).withColumn(value, round_reading(F.col(value)))
 
 
 def dedup(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:

@@ -69,7 +69,7 @@ def star_tables(aqi: DataFrame, record_id_type: str = "int") -> dict[str, DataFr
         "dim_province": provinces,
         "dim_date": dim_date(aqi, TIME),
         "dim_time": dim_time(aqi, TIME),
-        # The key's order is also the file order, so row-group statistics prune by date.
+        # Files hold ranges of the key's order, so row-group statistics prune by date.
         "fact_air_quality": dense_key(rows, ["record_date", "record_time", KEY], "record_id", record_id_type),
     }
 

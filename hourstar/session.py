@@ -37,7 +37,6 @@ def shared_dir(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         folder = tempfile.mkdtemp(prefix="hourstar-")
-    if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder
 
@@ -47,7 +46,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` on reliable storage, so it is computed once and outlives executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet below the shared folder and read it back.
+
+    It is then computed once, outlives executors, is read by column, and its size is known to the
+    optimizer.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

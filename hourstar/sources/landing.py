@@ -101,6 +101,17 @@ def between_epochs(df: DataFrame, epoch: str, start: Column | int, end: Column |
     return df.filter(F.col(epoch).between(start, end))
 
 
+def between_walls(df: DataFrame, time: str, start: str, end: str, zone: str) -> DataFrame:
+    """Rows whose UTC wall time (timestamp_ntz) lies between two local times of a zone, both inclusive.
+
+    The bounds, not the column, are converted: they fold to literals that reach the scan.
+    """
+    def utc(text: str) -> Column:
+        return F.convert_timezone(F.lit(zone), F.lit("UTC"), F.to_timestamp_ntz(F.lit(text)))
+
+    return df.filter(F.col(time).between(utc(start), utc(end)))
+
+
 class LandingError(RuntimeError):
     """The landing is empty or incomplete."""
 

@@ -36,7 +36,7 @@ def recreate_table(spark: SparkSession, name: str, columns: Mapping[str, str], l
 def setup_star(spark: SparkSession, database: str, location: str,
                tables: Mapping[str, Mapping[str, str]] = schemas.STAR) -> None:
     """Create the schema if needed, then drop and recreate its tables below ``location``."""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {database}")
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {database} LOCATION '{location}'")
     for table, columns in tables.items():
         recreate_table(spark, f"{database}.{table}", columns, f"{location.rstrip('/')}/{table}")
 
