@@ -219,6 +219,8 @@ ORACLE: dict[str, str] = {
       SELECT 'Station ' || c_custkey AS province_name, count(f.dt) AS readings,
              CASE WHEN count(f.dt) = 0 THEN 'missing' ELSE 'ok' END AS status
       FROM customer LEFT JOIN flat f ON f.province_name = 'Station ' || c_custkey GROUP BY 1""",
+    "landing_counts": """SELECT count(*) AS expected, count(u.user_id) AS found, count(*) - count(u.user_id) AS missing
+      FROM customer LEFT JOIN (SELECT DISTINCT user_id FROM events) u ON user_id = c_custkey""",
     "drop_negative": "SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal >= 0",
     "round_one_decimal":
         "SELECT event_id, CAST(round(CAST(value AS DECIMAL(10,2)), 1) AS DECIMAL(10,1)) AS reading FROM events",

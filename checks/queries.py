@@ -149,23 +149,30 @@ def flat_readings(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def landed_path(spark: SparkSession, sf: str) -> str:
+def landed_path(spark: SparkSession, sf: str, layout: str) -> str:
     path = scratch_path(spark, "landed")
-    landing.land(landing.reading_documents(flat_readings(spark, sf)), path)
+    landing.land(landing.reading_documents(flat_readings(spark, sf)), path, layout=layout)
     return path
 
 
 def landing_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    back = landing.explode_readings(landing.read_landed(spark, landed_path(spark, sf), by_folder=True))
-    return back.select("province_name", "latitude", "longitude", F.unix_timestamp("datetime").alias("dt"), "pm2_5")
+    docs = landing.read_landed(spark, landed_path(spark, sf, "field"), layout="field")
+    return landing.explode_readings(docs).select(
+        "province_name", "latitude", "longitude", F.unix_timestamp("datetime").alias("dt"), "pm2_5"
+    )
 
 
 def landing_report(spark: SparkSession, sf: str) -> DataFrame:
-    path = landed_path(spark, sf)
+    docs = landing.read_landed(spark, landed_path(spark, sf, "field"), layout="field")
+    expected = table(spark, sf, "customer").select(station_name("c_custkey").alias("province_name"))
+    return landing.landing_status(expected, landing.explode_readings(docs, keep_empty=True))
+
+
+def landing_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Expected, found and missing stations, from the listing of one folder per station."""
+    path = landed_path(spark, sf, "folder")
     expected = table(spark, sf, "customer").select(station_name("c_custkey").alias("province_name"))
-    files = landing.landed_files(spark, path, by_folder=True)
-    rows = landing.explode_readings(landing.read_landed(spark, path, by_folder=True))
-    return landing.landing_status(expected, files, rows).select("province_name", "readings", "status")
+    return quality.completeness(expected, landing.landed_files(spark, path, layout="folder"), "province_name")
 
 
 def published_fact(spark: SparkSession, sf: str) -> DataFrame:
@@ -176,7 +183,7 @@ def published_fact(spark: SparkSession, sf: str) -> DataFrame:
     start, end = (
         spark.range(1).select(F.lit(t).alias("wall")).select(local).first()[0] for t in (hours.start, hours.end)
     )
-    job = air_quality.Job(landed_path(spark, sf), scratch_path(spark, "star"), start, end, by_folder=True)
+    job = air_quality.Job(landed_path(spark, sf, "field"), scratch_path(spark, "star"), start, end, layout="field")
     air_quality.run(spark, stations(spark, sf).select(station_name("user_id").alias("province_name")), job)
     return air_quality.published(spark, job)["fact_air_quality"]
 
@@ -342,6 +349,7 @@ QUERIES: dict[str, Query] = {
     "nest_explode_roundtrip": nest_explode_roundtrip,
     "landing_roundtrip": landing_roundtrip,
     "landing_report": landing_report,
+    "landing_counts": landing_counts,
     "drop_negative": lambda spark, sf: series.drop_negative(
         table(spark, sf, "customer").select("c_custkey", "c_acctbal"), "c_acctbal"),
     "round_one_decimal": lambda spark, sf: table(spark, sf, "events").select(

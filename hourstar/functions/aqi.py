@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourstar import schemas
+from hourstar.session import literal_table
 
 
 class Band(NamedTuple):
@@ -82,7 +83,7 @@ def band_number(concentration: Column, bands: Sequence[Band] = PM25_BANDS) -> Co
 
 def breakpoints(spark: SparkSession, bands: Sequence[Band] = PM25_BANDS) -> DataFrame:
     """The bands as a table."""
-    return spark.createDataFrame([band[:4] for band in bands], schemas.BREAKPOINTS)
+    return literal_table(spark, [band[:4] for band in bands], schemas.BREAKPOINTS)
 
 
 def join_bands(df: DataFrame, concentration: str, bands: Sequence[Band] = PM25_BANDS) -> DataFrame:
@@ -92,9 +93,7 @@ def join_bands(df: DataFrame, concentration: str, bands: Sequence[Band] = PM25_B
     seven broadcast rows, and a value above the last band still matches exactly one of them.
     """
     rows = [(i, *band) for i, band in enumerate(bands)]
-    table = df.sparkSession.createDataFrame(
-        rows, "band INT NOT NULL, " + schemas.BREAKPOINTS + ", label STRING NOT NULL"
-    )
+    table = literal_table(df.sparkSession, rows, {"band": "INT", **schemas.BREAKPOINTS, "label": "STRING"})
     return (
         df.withColumn("band", band_number(F.col(concentration), bands))
         .join(F.broadcast(table), "band")
@@ -102,6 +101,15 @@ def join_bands(df: DataFrame, concentration: str, bands: Sequence[Band] = PM25_B
     )
 
 
+def has_band(concentration: Column, bands: Sequence[Band] = PM25_BANDS) -> Column:
+    """True where a band holds the concentration, or it lies above the last one."""
+    inside = concentration > F.lit(Decimal(str(bands[-1].c_high)))
+    for band in bands:
+        inside = concentration.between(F.lit(Decimal(str(band.c_low))), F.lit(Decimal(str(band.c_high)))) | inside
+    return inside
+
+
 def with_aqi(df: DataFrame, concentration: str, out: str = "aqi", bands: Sequence[Band] = PM25_BANDS) -> DataFrame:
     """Add the index; rows whose concentration has no band are dropped."""
-    return df.withColumn(out, aqi(F.col(concentration), bands)).filter(F.col(out).isNotNull())
+    value = F.col(concentration)
+    return df.filter(has_band(value, bands)).withColumn(out, aqi(value, bands))

@@ -16,8 +16,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourstar import schemas
+from hourstar.session import literal_table
 
-RESULTS = "table STRING, check STRING, column STRING, expected STRING, actual STRING, passed BOOLEAN"
+RESULTS = {
+    "table": "STRING", "check": "STRING", "column": "STRING", "expected": "STRING", "actual": "STRING",
+    "passed": "BOOLEAN",
+}
 
 _COMPARE = {"=": operator.eq, ">=": operator.ge, "<=": operator.le}
 
@@ -108,7 +112,7 @@ def evaluate(table: str, df: DataFrame, rules: Sequence[Rule | SchemaRule]) -> D
             static.append((table, r.metric, r.column, r.expected, "no such column", False))
     parts = []
     if static:
-        parts.append(df.sparkSession.createDataFrame(static, RESULTS))
+        parts.append(literal_table(df.sparkSession, static, RESULTS))
     simple = [r for r in present if r.metric != "duplicate_count"]
     if simple:
         names = [f"_m{i}" for i in range(len(simple))]

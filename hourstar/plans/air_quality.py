@@ -14,7 +14,7 @@ from hourstar.operators.keys import dense_key
 from hourstar.operators.quality import gate, scan, star_foreign_keys, star_rules
 from hourstar.operators.series import clean_readings, complete_series
 from hourstar.operators.star import dim_date, dim_entity, dim_time, fact
-from hourstar.sources.landing import explode_readings, landed_files, landing_status, read_landed, require_landed
+from hourstar.sources.landing import explode_readings, landed_files, landing_status, read_landed, require_all
 from hourstar.sources.tables import read_table, recreate_table, write_table
 
 ENTITY, TIME, KEY = "province_name", "datetime", "province_id"
@@ -24,7 +24,7 @@ COORDINATES = {"latitude": 4, "longitude": 4}
 
 @dataclass(frozen=True)
 class Job:
-    """Where the documents lie, where the star goes, and the closed range of hours.
+    """Where the documents lie and how they are keyed, where the star goes, and the closed range of hours.
 
     ``record_id_type`` is INT as declared; use ``bigint`` where the fact can pass 2^31 rows.
     """
@@ -33,7 +33,7 @@ class Job:
     out: str
     start: str
     end: str
-    by_folder: bool = False
+    layout: str = "file"
     record_id_type: str = "int"
     database: str | None = None
 
@@ -82,12 +82,11 @@ def build(spark: SparkSession, provinces: DataFrame, job: Job) -> str:
     costs its own tasks only.
     """
     version = f"{job.out.rstrip('/')}/versions/{uuid.uuid4().hex}"
-    docs = read_landed(spark, job.raw, ENTITY, job.by_folder)
-    write_table(explode_readings(docs, ENTITY), f"{version}/readings")
+    docs = read_landed(spark, job.raw, ENTITY, job.layout)
+    write_table(explode_readings(docs, ENTITY, keep_empty=True), f"{version}/readings")
     readings = spark.read.schema(schemas.READINGS).parquet(f"{version}/readings")
-
-    files = landed_files(spark, job.raw, ENTITY, job.by_folder)
-    write_table(landing_status(provinces, files, readings, ENTITY), f"{version}/landing", compact=True)
+    write_table(landing_status(provinces, readings, ENTITY), f"{version}/landing", compact=True)
+    require_all(provinces, readings, ENTITY)
 
     cleaned = clean_readings(readings, "pm2_5")
     write_table(hourly_aqi(hourly_series(cleaned, provinces, job.start, job.end)), f"{version}/hourly_aqi")
@@ -127,8 +126,10 @@ def published(spark: SparkSession, job: Job) -> dict[str, DataFrame]:
 
 def run(spark: SparkSession, provinces: DataFrame, job: Job) -> DataFrame:
     """Check the landing, build, audit, and publish only if every rule passes. Returns the verdicts."""
-    n = require_landed(provinces, landed_files(spark, job.raw, ENTITY, job.by_folder), ENTITY)
+    if job.layout != "field":
+        # The listing alone shows what is missing, before anything is parsed.
+        require_all(provinces, landed_files(spark, job.raw, ENTITY, job.layout), ENTITY)
     version = build(spark, provinces, job)
-    verdicts = gate(audit(spark, version, job, n))
+    verdicts = gate(audit(spark, version, job, provinces.select(ENTITY).distinct().count()))
     publish(spark, version, job)
     return verdicts

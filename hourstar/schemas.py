@@ -18,7 +18,7 @@ SERIES = (
     "pm2_5 DECIMAL(10,1), pm2_5_24h_avg DECIMAL(10,1)"
 )
 
-BREAKPOINTS = "c_low DOUBLE NOT NULL, c_high DOUBLE NOT NULL, i_low INT NOT NULL, i_high INT NOT NULL"
+BREAKPOINTS = {"c_low": "DOUBLE", "c_high": "DOUBLE", "i_low": "INT", "i_high": "INT"}
 
 COORDINATES = "province_id INT, province_name STRING, latitude DECIMAL(10,4), longitude DECIMAL(10,4)"
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "hourstar", time_zone: str = "Asia/Bangkok", **conf: str) -> SparkSession:
@@ -55,3 +57,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def literal_table(spark: SparkSession, rows: Iterable[tuple], columns: Mapping[str, str]) -> DataFrame:
+    """A small fixed table made of literals, without a round trip through Python workers."""
+    structs = [
+        F.struct(*[F.lit(v).cast(t).alias(c) for v, (c, t) in zip(row, columns.items())]) for row in rows
+    ]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))

@@ -45,18 +45,20 @@ def reading_documents(readings: DataFrame, entity: str = "province_name") -> Dat
     )
 
 
-def land(docs: DataFrame, path: str, entity: str = "province_name") -> None:
-    """Write the documents as JSON lines, one folder per entity.
+def land(docs: DataFrame, path: str, entity: str = "province_name", layout: str = "field") -> None:
+    """Write the documents as JSON lines, clustered by entity.
 
-    Tasks take ranges of entities, so a folder gets few files, and a large entity several tasks.
+    ``field`` keeps the entity inside the documents and packs many entities into a file; it suits
+    large numbers of entities. ``folder`` gives each entity a folder. Either way tasks take ranges
+    of (entity, first reading), so a large entity is written by several tasks.
     """
-    first = F.col("list").getItem(0)["dt"]
-    (
-        docs.withColumn("_first", first)
+    out = (
+        docs.withColumn("_first", F.col("list").getItem(0)["dt"])
         .repartitionByRange(shuffle_partitions(docs.sparkSession), entity, "_first")
         .drop("_first")
-        .write.partitionBy(entity).mode("overwrite").json(path)
+        .write.mode("overwrite")
     )
+    (out.partitionBy(entity) if layout == "folder" else out).json(path)
 
 
 def _entity_of_file(entity: str) -> Column:
@@ -65,29 +67,37 @@ def _entity_of_file(entity: str) -> Column:
     return F.regexp_extract(name, r"^(.*)\.json$", 1).alias(entity)
 
 
-def read_landed(spark: SparkSession, path: str, entity: str = "province_name", by_folder: bool = False) -> DataFrame:
+def read_landed(spark: SparkSession, path: str, entity: str = "province_name", layout: str = "file") -> DataFrame:
     """All documents in one relation with the explicit raw schema; fields not in it are not parsed.
 
-    The entity comes from the folder name (``by_folder``), or from ``<entity>.json`` file names.
+    The entity is the name of an ``<entity>.json`` file (``file``), of a folder (``folder``), or a
+    field of the document (``field``).
     """
-    if by_folder:
-        return spark.read.schema(f"{schemas.RAW}, `{entity}` STRING").option("pathGlobFilter", "*.json").json(path)
-    docs = spark.read.schema(schemas.RAW).option("pathGlobFilter", "*.json").json(path)
-    return docs.select("*", _entity_of_file(entity))
+    reader = spark.read.option("pathGlobFilter", "*.json")
+    if layout == "file":
+        return reader.schema(schemas.RAW).json(path).select("*", _entity_of_file(entity))
+    return reader.schema(f"{schemas.RAW}, `{entity}` STRING").json(path)
 
 
-def landed_files(spark: SparkSession, path: str, entity: str = "province_name", by_folder: bool = False) -> DataFrame:
-    """The landed files as ``(entity, bytes)``. Only the listing is used; no file is opened."""
+def landed_files(spark: SparkSession, path: str, entity: str = "province_name", layout: str = "file") -> DataFrame:
+    """The landed files as ``(entity, bytes)``, for layouts that name the entity in the path.
+
+    Only the listing is used; no file is opened.
+    """
     listing = "path STRING, modificationTime TIMESTAMP, length LONG, content BINARY"
     reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.json")
-    if by_folder:
-        return reader.schema(f"{listing}, `{entity}` STRING").load(path).select(entity, F.col("length").alias("bytes"))
-    return reader.load(path).select(_entity_of_file(entity), F.col("length").alias("bytes"))
-
-
-def explode_readings(docs: DataFrame, entity: str = "province_name") -> DataFrame:
-    """One row per reading; documents without readings give none."""
-    return docs.select("coord", entity, F.explode("list").alias("record")).select(
+    size = F.col("length").alias("bytes")
+    if layout == "file":
+        return reader.load(path).select(_entity_of_file(entity), size)
+    if layout == "folder":
+        return reader.schema(f"{listing}, `{entity}` STRING").load(path).select(entity, size)
+    raise ValueError(f"layout {layout!r} does not name entities in paths")
+
+
+def explode_readings(docs: DataFrame, entity: str = "province_name", keep_empty: bool = False) -> DataFrame:
+    """One row per reading. Documents without readings give none, or with ``keep_empty`` one row of nulls."""
+    explode = F.explode_outer if keep_empty else F.explode
+    return docs.select("coord", entity, explode("list").alias("record")).select(
         F.col("coord.lat").alias("latitude"),
         F.col("coord.lon").alias("longitude"),
         entity,
@@ -116,31 +126,30 @@ class LandingError(RuntimeError):
     """The landing is empty or incomplete."""
 
 
-def require_landed(expected: DataFrame, files: DataFrame, entity: str = "province_name") -> int:
-    """How many entities were expected and found; raises unless these are the same.
+def require_all(expected: DataFrame, found: DataFrame, entity: str = "province_name") -> int:
+    """How many entities were expected, if all of them were found; raises otherwise.
 
-    The message names the first entities; ``missing_keys`` has them all.
+    The message names the first missing entities; ``missing_keys`` has them all.
     """
-    if files.isEmpty():
+    if found.isEmpty():
         raise LandingError("nothing has landed")
-    counts = completeness(expected, files, entity).first()
+    counts = completeness(expected, found, entity).first()
     if counts.missing:
-        first = missing_keys(expected, files, entity).orderBy(entity).limit(100).collect()
+        first = missing_keys(expected, found, entity).orderBy(entity).limit(100).collect()
         raise LandingError(f"{counts.missing} of {counts.expected} missing: {', '.join(r[0] for r in first)}")
     return counts.expected
 
 
-def landing_status(expected: DataFrame, files: DataFrame, readings: DataFrame,
-                   entity: str = "province_name") -> DataFrame:
-    """Every expected entity with its files and readings, and ``ok``, ``missing`` or ``no readings``.
+def landing_status(expected: DataFrame, readings: DataFrame, entity: str = "province_name") -> DataFrame:
+    """Every expected entity with its readings, and ``ok``, ``missing`` or ``no readings``.
 
-    A pretty-printed file parses to documents without a list, so it shows up as ``no readings``.
+    ``readings`` comes from ``explode_readings(.., keep_empty=True)``. A pretty-printed file parses
+    to documents without a list, so it shows up as ``no readings``.
     """
-    found = files.groupBy(entity).agg(F.count("*").alias("files"))
-    counted = readings.groupBy(entity).agg(F.count("*").alias("readings"))
-    status = F.when(F.col("files").isNull(), "missing").when(F.col("readings").isNull(), "no readings").otherwise("ok")
+    found = readings.groupBy(entity).agg(F.count("datetime").alias("readings"))
+    status = F.when(F.col("readings").isNull(), "missing").when(F.col("readings") == 0, "no readings").otherwise("ok")
     return (
-        expected.select(entity).distinct().join(found, entity, "left").join(counted, entity, "left")
+        expected.select(entity).distinct().join(found, entity, "left")
         .withColumn("status", status)
-        .fillna(0, ["files", "readings"])
+        .fillna(0, ["readings"])
     )

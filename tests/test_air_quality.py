@@ -11,7 +11,7 @@ from hourstar.plans.air_quality import (
     Job, audit, build, hourly_series, open_star, published, run,
 )
 from hourstar.sources.landing import (
-    LandingError, explode_readings, land, landed_files, landing_status, read_landed, reading_documents, require_landed,
+    LandingError, explode_readings, land, landed_files, landing_status, read_landed, reading_documents, require_all,
 )
 from hourstar.sources.lists import entities_from_text
 from hourstar.operators.series import clean_readings
@@ -135,16 +135,20 @@ def test_missing_province_stops_the_job(bangkok, raw, tmp_path):
     empty = tmp_path / "nothing"
     empty.mkdir()
     with pytest.raises(LandingError, match="nothing"):
-        require_landed(names, landed_files(bangkok, str(empty)))
+        require_all(names, landed_files(bangkok, str(empty)))
 
 
-def test_landed_documents_read_back(bangkok, raw, tmp_path):
+@pytest.mark.parametrize("layout", ["field", "folder"])
+def test_landed_documents_read_back(bangkok, raw, tmp_path, layout):
     flat = explode_readings(read_landed(bangkok, str(raw))).withColumn("dt", F.unix_timestamp("datetime"))
     path = str(tmp_path / "landed")
-    land(reading_documents(flat.drop("datetime")), path)
-    back = explode_readings(read_landed(bangkok, path, by_folder=True))
+    land(reading_documents(flat.drop("datetime")), path, layout=layout)
+    back = explode_readings(read_landed(bangkok, path, layout=layout))
     columns = ["province_name", "datetime", "latitude", "longitude", "pm2_5"]
     assert back.select(columns).exceptAll(flat.select(columns)).isEmpty()
     assert flat.select(columns).exceptAll(back.select(columns)).isEmpty()
-    assert landing_status(entities_from_text(bangkok, NAMES), landed_files(bangkok, path, by_folder=True), back) \
-        .filter("status = 'ok'").count() == 3
+    status = landing_status(entities_from_text(bangkok, NAMES + ",Trat"), back).collect()
+    assert {r.province_name: r.status for r in status}["Trat"] == "missing"
+    assert sum(r.status == "ok" for r in status) == 3
+    if layout == "folder":
+        assert require_all(entities_from_text(bangkok, NAMES), landed_files(bangkok, path, layout=layout)) == 3

@@ -1,11 +1,13 @@
 """Every registered query against its SQL, on the smallest test data."""
 
+import os
+
 import duckdb
 import pytest
 
 import __spark_entry__ as contract
 
-SF_DIR = "/root/testdata/sf0.001"
+SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
           "conversations").split()
 
