@@ -32,45 +32,57 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 # --- events as a sensor stream -------------------------------------------------------------------
 
-def readings(spark: SparkSession, sf: str) -> DataFrame:
-    rows = table(spark, sf, "events").select(
-        "user_id", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("datetime"), "event_id", "value"
-    )
-    return series.clean_readings(rows, "value")
+class Stream:
+    """The events as readings; the table is opened once."""
 
+    def __init__(self, spark: SparkSession, sf: str):
+        self.events = table(spark, sf, "events")
 
-def stations(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").select("user_id").distinct()
+    def readings(self) -> DataFrame:
+        rows = self.events.select(
+            "user_id", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("datetime"), "event_id", "value"
+        )
+        return series.clean_readings(rows, "value")
 
+    def stations(self) -> DataFrame:
+        return self.events.select("user_id").distinct()
 
-def grid(spark: SparkSession, sf: str) -> Grid:
-    """From the hour of the first event to the hour of the last."""
-    ends = [F.date_format(F.date_trunc("hour", end("ts")), "yyyy-MM-dd HH:mm:ss") for end in (F.min, F.max)]
-    return Grid(*table(spark, sf, "events").agg(*ends).first())
+    def grid(self) -> Grid:
+        """From the hour of the first event to the hour of the last."""
+        ends = [F.date_format(F.date_trunc("hour", end("ts")), "yyyy-MM-dd HH:mm:ss") for end in (F.min, F.max)]
+        return Grid(*self.events.agg(*ends).first())
 
+    def unique(self) -> DataFrame:
+        return series.dedup(self.readings(), ["user_id", "datetime"], "event_id")
 
-def aligned(spark: SparkSession, sf: str) -> DataFrame:
-    return series.align(stations(spark, sf), readings(spark, sf), "user_id", "datetime", grid(spark, sf))
+    def means(self) -> DataFrame:
+        return series.entity_mean(self.readings(), "user_id", {"value": 1})
 
+    def spine(self) -> DataFrame:
+        return hourly_spine(self.stations(), "user_id", self.grid(), time_type="timestamp_ntz")
 
-def imputed(spark: SparkSession, sf: str, unique: bool) -> DataFrame:
-    rows = readings(spark, sf)
-    means = series.entity_mean(rows, "user_id", {"value": 1})
-    if unique:
-        rows = series.dedup(rows, ["user_id", "datetime"], "event_id")
-    full = series.align(stations(spark, sf), rows, "user_id", "datetime", grid(spark, sf))
-    return series.impute(full, means, "user_id", ["value"]).select("user_id", "datetime", "value")
+    def aligned(self) -> DataFrame:
+        return series.align(self.stations(), self.readings(), "user_id", "datetime", self.grid())
 
+    def imputed(self) -> DataFrame:
+        return series.impute(self.aligned(), self.means(), "user_id", ["value"]).drop("event_id")
 
-def hourly_series(spark: SparkSession, sf: str) -> DataFrame:
-    return series.complete_series(
-        readings(spark, sf), stations(spark, sf), entity="user_id", time="datetime", value="value",
-        order="event_id", grid=grid(spark, sf), rolling="value_24h",
-    )
+    def rolled(self) -> DataFrame:
+        """De-duplicated, aligned, imputed and rolled, one operator at a time."""
+        hours = self.grid()
+        full = series.align(self.stations(), self.unique(), "user_id", "datetime", hours)
+        filled = series.impute(full, self.means(), "user_id", ["value"]).drop("event_id")
+        return series.rolling_mean(filled, "user_id", "datetime", "value", hours, out="value_24h")
 
+    def complete(self) -> DataFrame:
+        """The same in one fused plan."""
+        return series.complete_series(
+            self.readings(), self.stations(), entity="user_id", time="datetime", value="value", order="event_id",
+            grid=self.grid(), rolling="value_24h",
+        )
 
-def hourly_aqi(spark: SparkSession, sf: str) -> DataFrame:
-    return aqi.with_aqi(hourly_series(spark, sf), "value_24h")
+    def hourly_aqi(self) -> DataFrame:
+        return aqi.with_aqi(self.complete(), "value_24h")
 
 
 def concentrations(spark: SparkSession, sf: str) -> DataFrame:
@@ -85,7 +97,7 @@ class EventStar:
     """The star of the events; each table is built when it is first asked for."""
 
     def __init__(self, spark: SparkSession, sf: str):
-        named = hourly_aqi(spark, sf).select(
+        named = Stream(spark, sf).hourly_aqi().select(
             F.col("user_id").cast("string").alias("station"), "datetime", F.col("value").alias("pm2_5"), "aqi"
         )
         self.aqi = stored(named, "hourly-aqi")
@@ -121,6 +133,10 @@ def user_regions(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def stream(make: Callable[[Stream], DataFrame]) -> Query:
+    return lambda spark, sf: make(Stream(spark, sf))
+
+
 def report(make: Callable[[EventStar], DataFrame]) -> Query:
     return lambda spark, sf: make(EventStar(spark, sf))
 
@@ -177,14 +193,15 @@ def landing_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def published_fact(spark: SparkSession, sf: str) -> DataFrame:
     """The whole job: land, check, build, audit, publish, and read what was published."""
-    hours = grid(spark, sf)
+    stream = Stream(spark, sf)
+    hours = stream.grid()
     # The job reads its bounds in the session zone; the landed epochs are UTC.
     local = F.date_format(F.timestamp_seconds(epoch_seconds(F.col("wall"), "UTC")), "yyyy-MM-dd HH:mm:ss")
     start, end = (
         spark.range(1).select(F.lit(t).alias("wall")).select(local).first()[0] for t in (hours.start, hours.end)
     )
     job = air_quality.Job(landed_path(spark, sf, "field"), scratch_path(spark, "star"), start, end, layout="field")
-    air_quality.run(spark, stations(spark, sf).select(station_name("user_id").alias("province_name")), job)
+    air_quality.run(spark, stream.stations().select(station_name("user_id").alias("province_name")), job)
     return air_quality.published(spark, job)["fact_air_quality"]
 
 
@@ -343,7 +360,7 @@ def union_by_name(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    "aqi_pipeline": hourly_aqi,
+    "aqi_pipeline": stream(Stream.hourly_aqi),
     "json_props_parse": lambda spark, sf: table(spark, sf, "events").select(
         "event_id", F.from_json("props", "k INT")["k"].alias("k")),
     "nest_explode_roundtrip": nest_explode_roundtrip,
@@ -362,16 +379,14 @@ QUERIES: dict[str, Query] = {
     "unix_time": lambda spark, sf: table(spark, sf, "orders").select(
         "o_orderkey", epoch_seconds(F.col("o_orderdate"), ZONE).alias("epoch")),
     "split_list": lambda spark, sf: table(spark, sf, "documents").select("doc_id", split_list(F.col("text")).alias("item")),
-    "hourly_spine": lambda spark, sf: hourly_spine(
-        stations(spark, sf), "user_id", grid(spark, sf), time_type="timestamp_ntz"),
-    "align_left": aligned,
-    "entity_mean": lambda spark, sf: series.entity_mean(readings(spark, sf), "user_id", {"value": 1}),
+    "hourly_spine": stream(Stream.spine),
+    "align_left": stream(Stream.aligned),
+    "entity_mean": stream(Stream.means),
     "entity_mode": lambda spark, sf: series.entity_mode(table(spark, sf, "events"), "user_id", "event_type", "mode"),
-    "impute_mean": lambda spark, sf: imputed(spark, sf, unique=False),
-    "rolling_24": lambda spark, sf: series.rolling_mean(
-        imputed(spark, sf, unique=True), "user_id", "datetime", "value", grid(spark, sf), out="value_24h"),
-    "dedup_keep_one": lambda spark, sf: series.dedup(readings(spark, sf), ["user_id", "datetime"], "event_id"),
-    "complete_series": hourly_series,
+    "impute_mean": stream(Stream.imputed),
+    "rolling_24": stream(Stream.rolled),
+    "dedup_keep_one": stream(Stream.unique),
+    "complete_series": stream(Stream.complete),
     "aqi_band_join": lambda spark, sf: aqi.join_bands(concentrations(spark, sf), "concentration"),
     "aqi_value": lambda spark, sf: aqi.with_aqi(concentrations(spark, sf), "concentration"),
     "aqi_severity_counts": lambda spark, sf: concentrations(spark, sf).groupBy(

@@ -160,7 +160,7 @@ def foreign_key_verdict(table: str, child: DataFrame, fk: str, parent: DataFrame
 
 def missing_keys(expected: DataFrame, found: DataFrame, key: str) -> DataFrame:
     """Expected keys that were not found, by equality."""
-    return expected.select(key).distinct().join(found.select(key), key, "left_anti")
+    return expected.select(key).distinct().join(found.select(key).distinct(), key, "left_anti")
 
 
 def completeness(expected: DataFrame, found: DataFrame, key: str) -> DataFrame:

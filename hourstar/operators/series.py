@@ -28,7 +28,7 @@ def clean_readings(df: DataFrame, value: str) -> DataFrame:
 
 
 def dedup(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """One row per key: the one with the smallest ``order``.
+    """One row per key: the one with the smallest ``order``, a column without nulls.
 
     A hash aggregate rather than a row number: copies of a key are combined before the shuffle, so
     a key that holds a large part of the rows arrives as one row per map task.
@@ -58,14 +58,15 @@ def align(entities: DataFrame, readings: DataFrame, entity: str, time: str, grid
 
     Readings off the grid, outside the range or of an unlisted entity vanish; hours without a
     reading appear with nulls; several readings of one hour all stay. The join is taken apart so
-    that an hour with very many readings is never one task's build side: readings that match are
-    kept where they are, and only the distinct keys meet the spine to find the empty hours.
+    that an hour with very many readings never meets the spine as one group: the readings of listed
+    entities are kept as they are, and only the distinct keys, combined on the map side, are
+    compared with the spine to find the empty hours.
     """
-    expected = entities.select(entity).distinct()
-    matched = readings.filter(grid.contains(F.col(time))).join(expected, entity, "left_semi")
+    on_grid = readings.filter(grid.contains(F.col(time)))
+    listed = on_grid.join(entities.select(entity).distinct(), entity, "left_semi")
     spine = hourly_spine(entities, entity, grid, time, sql_type(readings, time))
-    empty = spine.join(matched.select(entity, time).distinct(), [entity, time], "left_anti")
-    return matched.unionByName(empty, allowMissingColumns=True)
+    empty = spine.join(on_grid.select(entity, time).distinct(), [entity, time], "left_anti")
+    return listed.unionByName(empty, allowMissingColumns=True)
 
 
 def impute(df: DataFrame, means: DataFrame, entity: str, columns: Sequence[str], suffix: str = "_mean") -> DataFrame:
@@ -90,6 +91,7 @@ def rolling_mean(df: DataFrame, entity: str, time: str, value: str, grid: Grid,
     return (
         df.withColumn("_slot", grid.slot_of(F.col(time)))
         .withColumn("_chunk", F.explode(grid.chunks_needing(slot, halo)))
+        .repartition(shuffle_partitions(df.sparkSession), entity, "_chunk")
         .withColumn(out, F.avg(value).over(frame).cast(sql_type(df, value)))
         .filter(grid.chunk_of(slot) == F.col("_chunk"))
         .drop("_slot", "_chunk")

@@ -20,11 +20,13 @@ def nest(df: DataFrame, entity: str, items: str, fields: list[Column], order: li
 
     Rows are range-partitioned by entity and order and cut into fixed blocks, and only a block is
     gathered into an array. An entity with a large share of the rows is split over many tasks and
-    many documents. ``order`` should list every column used, so that re-run tasks see the same order.
+    many documents, and so are equal rows, which a last column tells apart. ``order`` should list
+    every column used and ``df`` come from a stored table, so that re-run tasks see the same order.
     """
-    by = [entity, *(header or []), *order]
+    by = [entity, *(header or []), *order, "_tie"]
     blocks = (
-        df.repartitionByRange(shuffle_partitions(df.sparkSession), *by)
+        df.withColumn("_tie", F.monotonically_increasing_id())
+        .repartitionByRange(shuffle_partitions(df.sparkSession), *by)
         .sortWithinPartitions(*by)
         .withColumn("_id", F.monotonically_increasing_id())
     )
@@ -54,8 +56,9 @@ def land(docs: DataFrame, path: str, entity: str = "province_name", layout: str
     """
     out = (
         docs.withColumn("_first", F.col("list").getItem(0)["dt"])
-        .repartitionByRange(shuffle_partitions(docs.sparkSession), entity, "_first")
-        .drop("_first")
+        .withColumn("_tie", F.monotonically_increasing_id())
+        .repartitionByRange(shuffle_partitions(docs.sparkSession), entity, "_first", "_tie")
+        .drop("_first", "_tie")
         .write.mode("overwrite")
     )
     (out.partitionBy(entity) if layout == "folder" else out).json(path)
