@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourstar.session import shuffle_partitions, stored
+from hourstar.session import stored
 
 # A lookup side of up to this many rows is broadcast; dimension rows are a few hundred bytes at most.
 BROADCAST_ROWS = 200_000
@@ -24,7 +24,7 @@ def dense_key(df: DataFrame, order: Sequence[str], key: str, key_type: str = "in
     broadcast, and the large side is not shuffled again.
     """
     ranged = (
-        df.repartitionByRange(shuffle_partitions(df.sparkSession), *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_id", F.monotonically_increasing_id())
     )

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from hourstar import schemas
 from hourstar.operators.quality import completeness, missing_keys
-from hourstar.session import shuffle_partitions
 
 # A landed document holds at most this many readings. A power of two, so that blocks of
 # monotonically increasing ids never span two partitions.
@@ -26,7 +25,7 @@ def nest(df: DataFrame, entity: str, items: str, fields: list[Column], order: li
     by = [entity, *(header or []), *order, "_tie"]
     blocks = (
         df.withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(shuffle_partitions(df.sparkSession), *by)
+        .repartitionByRange(*by)
         .sortWithinPartitions(*by)
         .withColumn("_id", F.monotonically_increasing_id())
     )
@@ -57,7 +56,7 @@ def land(docs: DataFrame, path: str, entity: str = "province_name", layout: str
     out = (
         docs.withColumn("_first", F.col("list").getItem(0)["dt"])
         .withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(shuffle_partitions(docs.sparkSession), entity, "_first", "_tie")
+        .repartitionByRange(entity, "_first", "_tie")
         .drop("_first", "_tie")
         .write.mode("overwrite")
     )
