@@ -6,9 +6,9 @@ table come from one aggregate pass; each duplicate count adds one pass over its
 
 from __future__ import annotations
 
-import operator
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
 from typing import Any
 
@@ -23,8 +23,6 @@ RESULTS = {
     "passed": "BOOLEAN",
 }
 
-_COMPARE = {"=": operator.eq, ">=": operator.ge, "<=": operator.le}
-
 
 @dataclass(frozen=True)
 class Rule:
@@ -75,14 +73,29 @@ def duplicate_count(df: DataFrame, column: str) -> DataFrame:
     return counts.agg(F.count_if(F.col("_n") > 1).alias("value"))
 
 
-def _verdict(table: str, rule: Rule, actual: Column) -> Column:
-    # A metric over no rows is null and fails.
-    passed = F.coalesce(_COMPARE[rule.compare](actual, F.lit(rule.bound)), F.lit(False))
-    return F.struct(
-        F.lit(table).alias("table"), F.lit(rule.metric).alias("check"),
-        F.lit(rule.column).cast("string").alias("column"), F.lit(rule.expected).alias("expected"),
-        actual.cast("string").alias("actual"), passed.alias("passed"),
-    )
+def _literal(value: Any) -> str:
+    if value is None:
+        return "cast(null as string)"
+    if isinstance(value, (int, float, Decimal)):
+        return str(value)
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
+
+
+def _verdicts(metrics: DataFrame, table: str, rules: Mapping[str, Rule]) -> DataFrame:
+    """Verdict rows from one row of metrics; ``rules`` maps its columns to rules."""
+    def verdict(metric: str, rule: Rule) -> str:
+        if rule.compare not in ("=", ">=", "<="):
+            raise ValueError(f"unknown comparison {rule.compare!r}")
+        # A metric over no rows is null and fails.
+        parts = {
+            "table": _literal(table), "check": _literal(rule.metric), "column": _literal(rule.column),
+            "expected": _literal(rule.expected), "actual": f"cast({metric} as string)",
+            "passed": f"coalesce({metric} {rule.compare} {_literal(rule.bound)}, false)",
+        }
+        return "named_struct(" + ", ".join(f"'{name}', {value}" for name, value in parts.items()) + ")"
+
+    return metrics.selectExpr(f"inline(array({', '.join(verdict(m, r) for m, r in rules.items())}))")
 
 
 def _schema_rows(table: str, df: DataFrame, rule: SchemaRule) -> list[tuple]:
@@ -115,13 +128,11 @@ def evaluate(table: str, df: DataFrame, rules: Sequence[Rule | SchemaRule]) -> D
         parts.append(literal_table(df.sparkSession, static, RESULTS))
     simple = [r for r in present if r.metric != "duplicate_count"]
     if simple:
-        names = [f"_m{i}" for i in range(len(simple))]
-        one_row = df.agg(*[_simple_metric(r).alias(n) for n, r in zip(names, simple)])
-        verdicts = F.array(*[_verdict(table, r, F.col(n)) for n, r in zip(names, simple)])
-        parts.append(one_row.select(F.inline(verdicts)))
+        named = {f"_m{i}": r for i, r in enumerate(simple)}
+        parts.append(_verdicts(df.agg(*[_simple_metric(r).alias(n) for n, r in named.items()]), table, named))
     for r in present:
         if r.metric == "duplicate_count":
-            parts.append(duplicate_count(df, r.column).select(F.inline(F.array(_verdict(table, r, F.col("value"))))))
+            parts.append(_verdicts(duplicate_count(df, r.column), table, {"value": r}))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -154,8 +165,7 @@ def fk_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFra
 
 def foreign_key_verdict(table: str, child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     orphans = fk_orphans(child, fk, parent, pk).agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("value"))
-    rule = Rule("orphan_count", fk)
-    return orphans.select(F.inline(F.array(_verdict(table, rule, F.col("value")))))
+    return _verdicts(orphans, table, {"value": Rule("orphan_count", fk)})
 
 
 def missing_keys(expected: DataFrame, found: DataFrame, key: str) -> DataFrame:

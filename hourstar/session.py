@@ -6,8 +6,10 @@ import tempfile
 import uuid
 from collections.abc import Iterable, Mapping
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+_ARROW_TYPES = {"INT": pa.int32(), "DOUBLE": pa.float64(), "STRING": pa.string(), "BOOLEAN": pa.bool_()}
 
 
 def build_session(app: str = "hourstar", time_zone: str = "Asia/Bangkok", **conf: str) -> SparkSession:
@@ -17,6 +19,8 @@ def build_session(app: str = "hourstar", time_zone: str = "Asia/Bangkok", **conf
         .config("spark.sql.session.timeZone", time_zone)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Recording the call site of every column expression slows down building large plans.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
@@ -60,8 +64,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def literal_table(spark: SparkSession, rows: Iterable[tuple], columns: Mapping[str, str]) -> DataFrame:
-    """A small fixed table made of literals, without a round trip through Python workers."""
-    structs = [
-        F.struct(*[F.lit(v).cast(t).alias(c) for v, (c, t) in zip(row, columns.items())]) for row in rows
-    ]
-    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+    """A small fixed table. From Arrow it becomes a local relation, which needs no Python worker to read."""
+    values = dict(zip(columns, map(list, zip(*rows))))
+    table = pa.table({c: pa.array(values[c], _ARROW_TYPES[t]) for c, t in columns.items()})
+    ddl = ", ".join(f"`{c}` {t}{'' if None in values[c] else ' NOT NULL'}" for c, t in columns.items())
+    return spark.createDataFrame(table, ddl)

@@ -51,9 +51,16 @@ def test_metrics_over_no_rows_fail_except_counts(dates):
         ("duplicate_count", True), ("min", False), ("missing_count", True)]
 
 
-def test_unknown_metric(dates):
+def test_unknown_metric_or_comparison(dates):
     with pytest.raises(ValueError):
         quality.evaluate("d", dates, [Rule("median", "quarter")])
+    with pytest.raises(ValueError):
+        quality.evaluate("d", dates, [Rule("max", "quarter", "<>", 1)])
+
+
+def test_text_bounds_are_quoted(dates):
+    [row] = quality.evaluate("d", dates, [Rule("max", "day_of_week", "<=", "it's \\ \"x\"")]).collect()
+    assert (row.expected, row.actual, row.passed) == ("<= it's \\ \"x\"", "Xyz", True)
 
 
 def test_gate_names_what_failed(dates):
