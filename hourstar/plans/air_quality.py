@@ -86,7 +86,8 @@ def build(spark: SparkSession, provinces: DataFrame, job: Job) -> str:
     write_table(explode_readings(docs, ENTITY, keep_empty=True), f"{version}/readings")
     readings = spark.read.schema(schemas.READINGS).parquet(f"{version}/readings")
     write_table(landing_status(provinces, readings, ENTITY), f"{version}/landing", compact=True)
-    require_all(provinces, readings, ENTITY)
+    landed = spark.read.parquet(f"{version}/landing").filter("status <> 'missing'")
+    require_all(provinces, landed, ENTITY)
 
     cleaned = clean_readings(readings, "pm2_5")
     write_table(hourly_aqi(hourly_series(cleaned, provinces, job.start, job.end)), f"{version}/hourly_aqi")
