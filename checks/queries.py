@@ -239,14 +239,15 @@ def typed_table_load(spark: SparkSession, sf: str) -> DataFrame:
     location = scratch_path(spark, "tables")
     database = "loaded_" + location.rsplit("-", 1)[1]
     tables.setup_star(spark, database, location, TYPED)
-    tables.load_by_position(table(spark, sf, "customer").select("c_custkey", "c_name"), f"{database}.dim_customer")
+    customers = table(spark, sf, "customer").select("c_custkey", "c_name")
+    tables.load_by_position(customers, f"{database}.dim_customer", TYPED["dim_customer"])
     orders = table(spark, sf, "orders").select(
         F.col("o_custkey").alias("customer_id"), F.col("o_totalprice").alias("price"),
         F.col("o_orderdate").alias("order_date"), "o_orderkey",
     )
     keyed = dense_key(orders, ["o_orderkey"], "record_id")
     columns = ["customer_id", "price", "order_date", "record_id"]
-    tables.load_columns(keyed.select(*columns), f"{database}.fact_orders", columns)
+    tables.load_columns(keyed.select(*columns), f"{database}.fact_orders", columns, TYPED["fact_orders"])
     return spark.table(f"{database}.fact_orders").join(spark.table(f"{database}.dim_customer"), "customer_id")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourstar import schemas
@@ -41,18 +41,30 @@ def setup_star(spark: SparkSession, database: str, location: str,
         recreate_table(spark, f"{database}.{table}", columns, f"{location.rstrip('/')}/{table}")
 
 
-def load_by_position(df: DataFrame, table: str) -> None:
-    """Replace a table's rows; columns are matched by position and cast to the table's types."""
+def _not_null(column: Column, name: str) -> Column:
+    return F.when(column.isNull(), F.raise_error(F.lit(f"{name} must not be null"))).otherwise(column)
+
+
+def load_by_position(df: DataFrame, table: str, columns: Mapping[str, str] | None = None) -> None:
+    """Replace a table's rows; columns are matched by position and cast to the table's types.
+
+    ``columns`` is the table's declaration: nulls in its NOT NULL columns stop the load while it is
+    writing, since Spark does not keep that constraint for Parquet tables.
+    """
     target = df.sparkSession.table(table).schema
     if len(target) != len(df.columns):
         raise ValueError(f"{table} has {len(target)} columns, the data {len(df.columns)}")
-    cast = [F.col(c).cast(f.dataType).alias(f.name) for c, f in zip(df.columns, target.fields)]
+    required = {c for c, t in (columns or {}).items() if t.endswith("NOT NULL")}
+    cast = [
+        (_not_null(F.col(c), f.name) if f.name in required else F.col(c)).cast(f.dataType).alias(f.name)
+        for c, f in zip(df.columns, target.fields)
+    ]
     df.select(*cast).write.insertInto(table, overwrite=True)
 
 
-def load_columns(df: DataFrame, table: str, columns: Sequence[str]) -> None:
+def load_columns(df: DataFrame, table: str, names: Sequence[str], columns: Mapping[str, str] | None = None) -> None:
     """Replace a table's rows from named columns, put in the table's order."""
     target = df.sparkSession.table(table).columns
-    if sorted(target) != sorted(columns):
+    if sorted(target) != sorted(names):
         raise ValueError(f"{table} needs the columns {target}")
-    load_by_position(df.select(*target), table)
+    load_by_position(df.select(*target), table, columns)

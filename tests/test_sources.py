@@ -90,6 +90,9 @@ def test_typed_tables_are_recreated_and_loaded_by_position(spark, tmp_path):
     assert spark.table("report_t.dim_time").filter("time_key = '07' and hour = 7").count() == 1
     with pytest.raises(Exception):
         tables.load_by_position(spark.createDataFrame([("000", 1)], "a STRING, b INT"), "report_t.dim_time")
+    nulls = spark.createDataFrame([("01", None)], "a STRING, b INT")
+    with pytest.raises(Exception, match="hour must not be null"):
+        tables.load_by_position(nulls, "report_t.dim_time", STAR["dim_time"])
     tables.setup_star(spark, "report_t", str(tmp_path / "w2"), STAR)
     assert spark.table("report_t.dim_time").count() == 0
 
