@@ -211,7 +211,7 @@ FK = " UNION ALL ".join(
 )
 
 ORACLE: dict[str, str] = {
-    "aqi_pipeline": f"WITH {series()} SELECT *, {aqi('value_24h')} AS aqi FROM rolled WHERE value_24h IS NOT NULL",
+    "hourly_aqi": f"WITH {series()} SELECT *, {aqi('value_24h')} AS aqi FROM rolled WHERE value_24h IS NOT NULL",
     "json_props_parse": "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events",
     "nest_explode_roundtrip": "SELECT user_id, event_id, event_type, value FROM events",
     "landing_roundtrip": f"WITH {FLAT} SELECT * FROM flat",

@@ -361,7 +361,7 @@ def union_by_name(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    "aqi_pipeline": stream(Stream.hourly_aqi),
+    "hourly_aqi": stream(Stream.hourly_aqi),
     "json_props_parse": lambda spark, sf: table(spark, sf, "events").select(
         "event_id", F.from_json("props", "k INT")["k"].alias("k")),
     "nest_explode_roundtrip": nest_explode_roundtrip,

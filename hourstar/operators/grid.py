@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
+from math import ceil
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourstar.session import shuffle_partitions
 
 
+# Grid rows a task should generate at most, a few hundred megabytes.
+ROWS_PER_TASK = 4_000_000
+
+
 def int_div(a: Column, b: Column | int) -> Column:
     return F.call_function("div", a, b if isinstance(b, Column) else F.lit(b))
 
@@ -48,6 +54,17 @@ class Grid:
     def last_chunk(self) -> Column:
         return int_div(self.last_slot, self.chunk)
 
+    def partitions(self, spark: SparkSession, n_entities: int | None) -> int:
+        """How many tasks should generate the grid of ``n_entities``.
+
+        Rows generated after a shuffle are not in AQE's size estimate, which would merge the small
+        input into one task. At least the session's shuffle partitions, and more for a grid that
+        needs them.
+        """
+        span = datetime.fromisoformat(self.end) - datetime.fromisoformat(self.start)
+        rows = (n_entities or 0) * (span.total_seconds() // self.step_seconds + 1)
+        return max(shuffle_partitions(spark), ceil(rows / ROWS_PER_TASK))
+
     def contains(self, time: Column) -> Column:
         """True for times that are a slot of the grid. The range part reaches the scan."""
         offset = F.unix_micros(time.cast("timestamp")) - self._start_us
@@ -77,18 +94,17 @@ class Grid:
 
 
 def hourly_spine(entities: DataFrame, entity: str, grid: Grid, time: str = "datetime",
-                 time_type: str = "timestamp") -> DataFrame:
+                 time_type: str = "timestamp", n_entities: int | None = None) -> DataFrame:
     """Every entity at every slot of the grid.
 
     The list of entities is small next to the result, so it is first cut into (entity, chunk) pieces
-    and spread over all tasks by a fixed partition count; AQE would otherwise merge the small input
-    into one task that generates every row.
+    and spread over ``grid.partitions`` tasks.
     """
     pieces = (
         entities.select(entity)
         .distinct()
         .select(entity, F.explode(F.sequence(F.lit(0).cast("long"), grid.last_chunk)).alias("_chunk"))
-        .repartition(shuffle_partitions(entities.sparkSession), entity, "_chunk")
+        .repartition(grid.partitions(entities.sparkSession, n_entities), entity, "_chunk")
     )
     slots = F.sequence(grid.chunk_start(F.col("_chunk")), grid.chunk_end(F.col("_chunk")))
     return pieces.select(entity, F.explode(slots).alias("_slot")).select(

@@ -183,6 +183,7 @@ def completeness(expected: DataFrame, found: DataFrame, key: str) -> DataFrame:
     )
 
 
+# The abbreviations of the date dimension.
 DAYS_OF_WEEK = ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")
 
 

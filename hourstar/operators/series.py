@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from hourstar.functions.values import round_reading
 from hourstar.operators.grid import Grid, hourly_spine
-from hourstar.session import shuffle_partitions
 
 
 def sql_type(df: DataFrame, column: str) -> str:
@@ -53,7 +52,8 @@ def entity_mode(df: DataFrame, entity: str, value: str, out: str | None = None)
     return counts.groupBy(entity).agg(first.alias(out or value))
 
 
-def align(entities: DataFrame, readings: DataFrame, entity: str, time: str, grid: Grid) -> DataFrame:
+def align(entities: DataFrame, readings: DataFrame, entity: str, time: str, grid: Grid,
+          n_entities: int | None = None) -> DataFrame:
     """The hourly spine left-joined with the readings on (entity, time).
 
     Readings off the grid, outside the range or of an unlisted entity vanish; hours without a
@@ -64,7 +64,7 @@ def align(entities: DataFrame, readings: DataFrame, entity: str, time: str, grid
     """
     on_grid = readings.filter(grid.contains(F.col(time)))
     listed = on_grid.join(entities.select(entity).distinct(), entity, "left_semi")
-    spine = hourly_spine(entities, entity, grid, time, sql_type(readings, time))
+    spine = hourly_spine(entities, entity, grid, time, sql_type(readings, time), n_entities)
     empty = spine.join(on_grid.select(entity, time).distinct(), [entity, time], "left_anti")
     return listed.unionByName(empty, allowMissingColumns=True)
 
@@ -76,7 +76,7 @@ def impute(df: DataFrame, means: DataFrame, entity: str, columns: Sequence[str],
 
 
 def rolling_mean(df: DataFrame, entity: str, time: str, value: str, grid: Grid, rows: int = 24,
-                 out: str = "rolling_mean") -> DataFrame:
+                 out: str = "rolling_mean", n_entities: int | None = None) -> DataFrame:
     """Mean over the current and the ``rows - 1`` preceding rows of a complete series.
 
     ``df`` has one row per entity and slot. Groups are (entity, chunk): each chunk also receives
@@ -91,7 +91,7 @@ def rolling_mean(df: DataFrame, entity: str, time: str, value: str, grid: Grid,
     return (
         df.withColumn("_slot", grid.slot_of(F.col(time)))
         .withColumn("_chunk", F.explode(grid.chunks_needing(slot, halo)))
-        .repartition(shuffle_partitions(df.sparkSession), entity, "_chunk")
+        .repartition(grid.partitions(df.sparkSession, n_entities), entity, "_chunk")
         .withColumn(out, F.avg(value).over(frame).cast(sql_type(df, value)))
         .filter(grid.chunk_of(slot) == F.col("_chunk"))
         .drop("_slot", "_chunk")
@@ -100,7 +100,7 @@ def rolling_mean(df: DataFrame, entity: str, time: str, value: str, grid: Grid,
 
 def complete_series(readings: DataFrame, entities: DataFrame, *, entity: str, time: str, value: str, order: str,
                     grid: Grid, attributes: Mapping[str, int] | None = None, decimals: int = 1, rows: int = 24,
-                    rolling: str = "rolling_mean") -> DataFrame:
+                    rolling: str = "rolling_mean", n_entities: int | None = None) -> DataFrame:
     """Align, de-duplicate, impute and roll every series at once.
 
     The result equals ``dedup`` + ``align`` + ``impute`` + ``rolling_mean``, but the spine is never
@@ -112,8 +112,8 @@ def complete_series(readings: DataFrame, entities: DataFrame, *, entity: str, ti
 
     ``attributes`` are further columns filled with their entity mean, as column -> decimals.
     ``readings`` is scanned twice (means, values): pass a stored table, not a parse of raw files.
+    ``n_entities``, where known, sizes the partitions of the grid.
     """
-    spark = readings.sparkSession
     halo = rows - 1
     if halo > grid.chunk:
         raise ValueError("a chunk must be at least as long as the window")
@@ -145,7 +145,7 @@ def complete_series(readings: DataFrame, entities: DataFrame, *, entity: str, ti
 
     # A fixed partition count: the hours generated below are not in AQE's size estimate.
     pieces = anchors.unionByName(kept, allowMissingColumns=True).repartition(
-        shuffle_partitions(spark), entity, "_chunk"
+        grid.partitions(readings.sparkSession, n_entities), entity, "_chunk"
     )
     in_order = Window.partitionBy(entity, "_chunk").orderBy("_slot", "_reading")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)

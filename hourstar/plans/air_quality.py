@@ -44,14 +44,15 @@ class Job:
         return tables
 
 
-def hourly_series(readings: DataFrame, provinces: DataFrame, start: str, end: str) -> DataFrame:
+def hourly_series(readings: DataFrame, provinces: DataFrame, start: str, end: str,
+                  n_provinces: int | None = None) -> DataFrame:
     """Complete hourly series of all provinces, with the 24-hour mean.
 
     Of several readings of one hour the lowest is kept; the province mean counts all of them.
     """
     series = complete_series(
         readings, provinces, entity=ENTITY, time=TIME, value="pm2_5", order="pm2_5", grid=Grid(start, end),
-        attributes=COORDINATES, rows=24, rolling="pm2_5_24h_avg",
+        attributes=COORDINATES, rows=24, rolling="pm2_5_24h_avg", n_entities=n_provinces,
     )
     return series.select(TIME, "latitude", "longitude", ENTITY, "pm2_5", "pm2_5_24h_avg")
 
@@ -74,7 +75,7 @@ def star_tables(aqi: DataFrame, record_id_type: str = "int") -> dict[str, DataFr
     }
 
 
-def build(spark: SparkSession, provinces: DataFrame, job: Job) -> str:
+def build(spark: SparkSession, provinces: DataFrame, job: Job, n_provinces: int | None = None) -> str:
     """Build the star in a new version folder and return its path.
 
     The JSON is parsed once into a columnar table, and the hourly index is stored before the four
@@ -90,7 +91,8 @@ def build(spark: SparkSession, provinces: DataFrame, job: Job) -> str:
     require_all(provinces, landed, ENTITY)
 
     cleaned = clean_readings(readings, "pm2_5")
-    write_table(hourly_aqi(hourly_series(cleaned, provinces, job.start, job.end)), f"{version}/hourly_aqi")
+    series = hourly_series(cleaned, provinces, job.start, job.end, n_provinces)
+    write_table(hourly_aqi(series), f"{version}/hourly_aqi")
     aqi = spark.read.parquet(f"{version}/hourly_aqi")
 
     for name, table in star_tables(aqi, job.record_id_type).items():
@@ -130,7 +132,8 @@ def run(spark: SparkSession, provinces: DataFrame, job: Job) -> DataFrame:
     if job.layout != "field":
         # The listing alone shows what is missing, before anything is parsed.
         require_all(provinces, landed_files(spark, job.raw, ENTITY, job.layout), ENTITY)
-    version = build(spark, provinces, job)
-    verdicts = gate(audit(spark, version, job, provinces.select(ENTITY).distinct().count()))
+    n_provinces = provinces.select(ENTITY).distinct().count()
+    version = build(spark, provinces, job, n_provinces)
+    verdicts = gate(audit(spark, version, job, n_provinces))
     publish(spark, version, job)
     return verdicts

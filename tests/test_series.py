@@ -31,6 +31,12 @@ def test_spine_does_not_depend_on_chunks(spark, chunk):
     assert hours(spark, grid, "ab") == [f"{h:02d}:00" for h in range(6)] * 2
 
 
+def test_large_grids_get_more_partitions(spark):
+    grid = Grid("2021-01-01 00:00:00", "2024-12-31 23:00:00")
+    assert grid.partitions(spark, None) == grid.partitions(spark, 77) == 4
+    assert grid.partitions(spark, 1_000_000) == 8766
+
+
 def random_readings(seed, n_hours):
     """Gaps, copies, off-grid and out-of-range readings; one entity holds most of the rows."""
     rng = random.Random(seed)
