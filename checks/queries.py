@@ -19,7 +19,7 @@ from hourstar.operators import quality, series, star
 from hourstar.operators.grid import Grid, hourly_spine
 from hourstar.operators.keys import dense_key, enrich
 from hourstar.plans import air_quality, reports
-from hourstar.session import scratch_path, stored
+from hourstar.session import empty_table, scratch_path, stored
 from hourstar.sources import landing, lists, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -356,7 +356,7 @@ def region_rollup(spark: SparkSession, sf: str) -> DataFrame:
 def union_by_name(spark: SparkSession, sf: str) -> DataFrame:
     customers = table(spark, sf, "customer").select(F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"))
     suppliers = table(spark, sf, "supplier").select(F.col("s_acctbal").alias("balance"), F.col("s_name").alias("name"))
-    seed = spark.createDataFrame([], "name STRING, balance DOUBLE")
+    seed = empty_table(spark, {"name": "STRING", "balance": "DOUBLE"})
     return seed.unionByName(customers).unionByName(suppliers)
 
 

@@ -8,6 +8,7 @@ from collections.abc import Iterable, Mapping
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _ARROW_TYPES = {"INT": pa.int32(), "DOUBLE": pa.float64(), "STRING": pa.string(), "BOOLEAN": pa.bool_()}
 
@@ -69,3 +70,8 @@ def literal_table(spark: SparkSession, rows: Iterable[tuple], columns: Mapping[s
     table = pa.table({c: pa.array(values[c], _ARROW_TYPES[t]) for c, t in columns.items()})
     ddl = ", ".join(f"`{c}` {t}{'' if None in values[c] else ' NOT NULL'}" for c, t in columns.items())
     return spark.createDataFrame(table, ddl)
+
+
+def empty_table(spark: SparkSession, columns: Mapping[str, str]) -> DataFrame:
+    """A typed table without rows: the start of a union, or the result for empty input."""
+    return spark.range(0).select(*[F.lit(None).cast(t).alias(c) for c, t in columns.items()])
