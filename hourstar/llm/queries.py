@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourstar.llm import sharding, url_filter
+from hourstar.llm import bpe, sharding, token_count, url_filter
 from hourstar.session import literal_table
 
 SHARDS = 40
+WORD_FILE, BYTE_FILE = "word_bpe_49k.json", "byte_bpe_50k.json"
+TOKEN_LIMIT = 512
 
 # The rules that op4 judges by.
 RULES = [
@@ -26,6 +28,33 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> bytes:
+    """A public tokenizer's file, read on the driver: 1.7 MB that go out with the tasks."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), "rb") as file:
+        return file.read()
+
+
+def encoded(docs: DataFrame) -> DataFrame:
+    done = bpe.encode_and_decode(docs, tokenizer_file(WORD_FILE))
+    return done.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded(_table(spark, sf_dir, "documents"))
+
+
+def op7_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_count.count_tokens(_table(spark, sf_dir, "documents"), tokenizer_file(BYTE_FILE))
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_rows(_table(spark, sf_dir, "documents"), SHARDS)
     return placed.select("*", F.lit("rows").alias("law"), F.lit(None).cast("int").alias("grown_shard"))
@@ -37,8 +66,10 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_bpe": op2_bpe,
     "op3_sharding": op3_sharding,
     "op4_url_filter": op4_url_filter,
+    "op7_token_count": op7_token_count,
 }
 
 ORACLE: dict[str, str] = {
