@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourstar.llm import bpe, sharding, token_count, url_filter
+from hourstar.llm import bpe, sharding, simhash, token_count, url_filter
 from hourstar.session import literal_table
 
 SHARDS = 40
@@ -65,11 +65,16 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"), rules, keep=["page_id"])
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_sharding": op3_sharding,
     "op4_url_filter": op4_url_filter,
     "op7_token_count": op7_token_count,
+    "op9_simhash": op9_simhash,
 }
 
 ORACLE: dict[str, str] = {
