@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourstar.llm import bpe, sharding, simhash, token_count, url_filter
+from hourstar.llm import bpe, decontaminate, sharding, simhash, token_count, url_filter
 from hourstar.session import literal_table
 
 SHARDS = 40
@@ -50,6 +50,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(_table(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op7_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_count.count_tokens(_table(spark, sf_dir, "documents"), tokenizer_file(BYTE_FILE))
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
@@ -73,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_sharding": op3_sharding,
     "op4_url_filter": op4_url_filter,
+    "op6_decontamination": op6_decontamination,
     "op7_token_count": op7_token_count,
     "op9_simhash": op9_simhash,
 }
