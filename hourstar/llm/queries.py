@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourstar.llm import bpe, decontaminate, sharding, simhash, token_count, url_filter
+from hourstar.llm import bpe, decontaminate, sharding, simhash, token_count, toxicity, url_filter
 from hourstar.session import literal_table
 
 SHARDS = 40
@@ -73,6 +73,11 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.scores(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_sharding": op3_sharding,
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontamination": op6_decontamination,
     "op7_token_count": op7_token_count,
     "op9_simhash": op9_simhash,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE: dict[str, str] = {
