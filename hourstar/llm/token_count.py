@@ -3,7 +3,7 @@
 A byte-level BPE tokenizer is turned into a deterministic transducer over bytes. After each byte its state
 holds every place from which a token may still go on, with the place's last token and its token count
 relative to now; the transition is annotated with the change of the count, that is with the tokens emitted
-less those taken back by a merge. Two neighbouring tokens can stand in an encoding only if they encode to
+less those taken back by a merge. For words that recur, their bytes' transitions are composed into one. Two neighbouring tokens can stand in an encoding only if they encode to
 themselves, and of all tokens that end at a place exactly one can follow what stands before it: that makes
 the transducer deterministic. States are compiled when first reached and merged where they are equal.
 
@@ -36,8 +36,8 @@ BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s
 CHUNK = 1 << 15
 # Compiled states per worker; beyond them the table is emptied and compiled anew.
 STATES = 150_000
-# Between words the automaton reads a byte that UTF-8 never has; as text it is this lone surrogate.
-BOUNDARY, BOUNDARY_TEXT = 0xFF, "\udcff"
+# Words whose transitions are composed, per worker; longer ones are read byte by byte each time.
+COMPOSED, COMPOSED_LENGTH = 200_000, 64
 
 
 class State(dict):
@@ -54,6 +54,22 @@ class State(dict):
         return step
 
 
+class Composed(dict):
+    """By word: the composition of its bytes' transitions, from a word's start to the next, as its count."""
+
+    def __init__(self, owner: "Transducer"):
+        super().__init__()
+        self.owner = owner
+
+    def __missing__(self, word: str) -> int:
+        count = self.owner.read(word)
+        if len(word) <= COMPOSED_LENGTH:
+            if len(self) >= COMPOSED:
+                self.clear()
+            self[word] = count
+        return count
+
+
 class ChunkMap(NamedTuple):
     """``head``: text to be read from the incoming state. If ``synced``: ``count`` tokens follow it, then ``tail``."""
 
@@ -82,6 +98,7 @@ class Transducer:
             self.token[node] = i
         self.inner = {node for node, _ in self.child}
         self.fits: dict[tuple[int, int], bool] = {}
+        self.composed = Composed(self)
         self.reset()
 
     def reset(self) -> None:
@@ -97,8 +114,6 @@ class Transducer:
         return known
 
     def step(self, state: State, byte: int) -> tuple[State, int]:
-        if byte == BOUNDARY:
-            return self.start, 0
         places, chosen = [], None
         # Earlier places first, so longer tokens first; the first that fits is the only one that does.
         for node, last, count in state.open:
@@ -119,14 +134,16 @@ class Transducer:
             found = self.states[open_] = State(self, open_)
         return found, change
 
-    def _words_count(self, text: str) -> int:
-        data = BOUNDARY_TEXT.join(self.words.findall(text)).encode("utf-8", "surrogateescape")
+    def read(self, word: str) -> int:
         state, total = self.start, 0
-        for byte in data:
+        for byte in word.encode():
             state, change = state[byte]
             total += change
         return total
 
+    def _words_count(self, text: str) -> int:
+        return sum(map(self.composed.__getitem__, self.words.findall(text)))
+
     def run(self, text: str) -> int:
         """Tokens of a text that begins and ends at word boundaries."""
         parts = self.file.segments(text)
