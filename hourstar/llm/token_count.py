@@ -34,8 +34,8 @@ from hourstar.llm.bpe import BpeFile, byte_characters, merge
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 CHUNK = 1 << 15
-# Compiled states per worker; beyond them the table is emptied and compiled anew.
-STATES = 150_000
+# Compiled states per worker, about 0.7 KB each; beyond them the table is emptied and compiled anew.
+STATES = 400_000
 # Words whose transitions are composed, per worker; longer ones are read byte by byte each time.
 COMPOSED, COMPOSED_LENGTH = 200_000, 64
 
