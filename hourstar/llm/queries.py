@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourstar.llm import bpe, decontaminate, sharding, simhash, token_count, toxicity, url_filter
+from hourstar.llm import bpe, decontaminate, html_extract, sharding, simhash, token_count, toxicity, url_filter
 from hourstar.session import literal_table
 
 SHARDS = 40
@@ -50,6 +50,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(_table(spark, sf_dir, "documents"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(_table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -82,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_sharding": op3_sharding,
     "op4_url_filter": op4_url_filter,
+    "op5_html_extraction": op5_html_extraction,
     "op6_decontamination": op6_decontamination,
     "op7_token_count": op7_token_count,
     "op9_simhash": op9_simhash,
