@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourstar.llm import bpe, decontaminate, html_extract, sharding, simhash, token_count, toxicity, url_filter
-from hourstar.session import literal_table
+from hourstar.llm import bpe, decontaminate, html_extract, sharding, simhash, token_count, toxicity, url_filter, warc
+from hourstar.session import literal_table, scratch_path
 
 SHARDS = 40
 WORD_FILE, BYTE_FILE = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -73,6 +73,16 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"), rules, keep=["page_id"])
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_archives(_table(spark, sf_dir, "pages"), path)
+    records, _ = warc.read_archives(spark, path, payloads=False)
+    return records.select(
+        F.col("page_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -89,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_html_extraction": op5_html_extraction,
     "op6_decontamination": op6_decontamination,
     "op7_token_count": op7_token_count,
+    "op8_warc": op8_warc,
     "op9_simhash": op9_simhash,
     "op10_toxicity": op10_toxicity,
 }
