@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourstar.llm.batches import pieces
-from hourstar.llm.shared import components
+from hourstar.llm.shared import components, forest
 from hourstar.session import stored
 
 WORDS = 4
@@ -174,8 +174,9 @@ def links(fps: DataFrame) -> DataFrame:
         keys, values = keys[order], values[order]
         starts = np.flatnonzero(np.diff(keys, prepend=keys[0] - 1))
         ends = np.append(starts[1:], len(keys))
-        found = {pair for s, e in zip(starts[ends - starts > 1], ends[ends - starts > 1]) for pair in linked_parts(values[s:e])}
-        a, b = zip(*found) if found else ((), ())
+        several = ends - starts > 1
+        pairs = (p for s, e in zip(starts[several], ends[several]) for p in linked_parts(values[s:e]))
+        a, b = zip(*found) if (found := list(forest(pairs))) else ((), ())
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))

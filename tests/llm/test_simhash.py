@@ -7,7 +7,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from hourstar.llm.queries import op9_simhash
-from hourstar.llm.shared import components
+from hourstar.llm.shared import components, forest
 from hourstar.llm.simhash import fingerprint, golay_indices, keys_of, linked_parts, near_duplicates
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -87,8 +87,15 @@ def test_empty_table(spark):
 
 
 def test_long_chain(spark):
-    chain = spark.range(300).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
-    assert {r.root for r in components(chain).collect()} == {0}
+    chain = spark.range(300).select((F.col("id") + 1).alias("a"), F.col("id").alias("b"))
+    more = spark.createDataFrame([(1000, 1001), (1001, 1000), (1002, 1001), (-5, -5)], "a long, b long")
+    found = {r.node: r.root for r in components(chain.union(more)).collect()}
+    assert found == {**{k: 0 for k in range(301)}, 1000: 1000, 1001: 1000, 1002: 1000}
+    assert components(chain.limit(0)).count() == 0
+
+
+def test_forest():
+    assert dict(forest([(1, 2), (5, 2), (9, 8), (8, 9), (7, 7)])) == {2: 1, 5: 1, 9: 8}
 
 
 def test_query_over_the_whole_table(spark):
