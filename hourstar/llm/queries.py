@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourstar.llm import bpe, decontaminate, html_extract, sharding, simhash, token_count, toxicity, url_filter, warc
+from hourstar.llm import bpe, decontaminate, html_extract, sharding, simhash, token_count, topk, toxicity, url_filter, warc
 from hourstar.session import literal_table, scratch_path
 
 SHARDS = 40
 WORD_FILE, BYTE_FILE = "word_bpe_49k.json", "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
+TOP = 10
 
 # The rules that op4 judges by.
 RULES = [
@@ -46,6 +47,10 @@ def encoded(docs: DataFrame) -> DataFrame:
     )
 
 
+def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0, TOP)
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(_table(spark, sf_dir, "documents"))
 
@@ -93,6 +98,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_top_k": op1_top_k,
     "op2_bpe": op2_bpe,
     "op3_sharding": op3_sharding,
     "op4_url_filter": op4_url_filter,
@@ -105,6 +111,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_top_k": """
+        WITH parts AS (
+            SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS at FROM embeddings
+            WHERE vec_id IS NOT NULL
+        ), bad AS (
+            SELECT DISTINCT vec_id FROM parts WHERE x IS NULL OR NOT isfinite(x)
+        ), v AS (
+            SELECT vec_id, at, CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) AS x FROM parts
+            WHERE vec_id NOT IN (SELECT vec_id FROM bad)
+        ), scored AS (
+            SELECT q.vec_id AS query_id, d.vec_id, CAST(sum(q.x * d.x) AS BIGINT) AS score
+            FROM v q JOIN v d ON q.at = d.at AND q.vec_id <> d.vec_id
+            WHERE q.vec_id % 100 = 0 GROUP BY 1, 2
+        ), ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+    """,
     "op4_url_filter": r"""
         WITH parts AS (
             SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest
