@@ -35,6 +35,7 @@ from typing import NamedTuple
 
 import ahocorasick
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -347,8 +348,6 @@ def scores(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: s
 
 def is_toxic(model: Model) -> Callable[[Column], Column]:
     """A filter on a text column."""
-    import pandas as pd
-
     @F.pandas_udf("boolean")
     def judged(texts: pd.Series) -> pd.Series:
         own = reader(model.stems)
