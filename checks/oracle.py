@@ -216,9 +216,15 @@ ORACLE: dict[str, str] = {
     "nest_explode_roundtrip": "SELECT user_id, event_id, event_type, value FROM events",
     "landing_roundtrip": f"WITH {FLAT} SELECT * FROM flat",
     "landing_report": f"""WITH {FLAT}
-      SELECT 'Station ' || c_custkey AS province_name, count(f.dt) AS readings,
+      SELECT 'Station ' || c_custkey AS province_name, count(f.dt) AS readings, CAST(0 AS BIGINT) AS corrupt,
              CASE WHEN count(f.dt) = 0 THEN 'missing' ELSE 'ok' END AS status
       FROM customer LEFT JOIN flat f ON f.province_name = 'Station ' || c_custkey GROUP BY 1""",
+    "landing_folder": f"WITH {FLAT} SELECT * FROM flat",
+    "extraction": f"""WITH {FLAT}
+      SELECT province_name, CAST(c_custkey % 15 + 5 AS DECIMAL(10,4)) AS latitude,
+             CAST(c_custkey % 8 + 97 AS DECIMAL(10,4)) AS longitude, dt, pm2_5
+      FROM (SELECT province_name, dt, pm2_5 FROM flat) JOIN customer ON province_name = 'Station ' || c_custkey
+      WHERE c_custkey % 2 = 0 AND dt BETWEEN {FROM_EPOCH} AND {TO_EPOCH}""",
     "landing_counts": """SELECT count(*) AS expected, count(u.user_id) AS found, count(*) - count(u.user_id) AS missing
       FROM customer LEFT JOIN (SELECT DISTINCT user_id FROM events) u ON user_id = c_custkey""",
     "drop_negative": "SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal >= 0",
@@ -268,6 +274,10 @@ ORACLE: dict[str, str] = {
     "report_region": f"""{STAR_WITH} SELECT r_name AS region, {REPORT} FROM fact JOIN stations USING (station_id)
       JOIN customer ON station = CAST(c_custkey AS VARCHAR) JOIN nation ON c_nationkey = n_nationkey
       JOIN region ON n_regionkey = r_regionkey GROUP BY 1""",
+    "report_region_partial": f"""{STAR_WITH} SELECT coalesce(r_name, 'unknown') AS region, {REPORT} FROM fact JOIN stations USING (station_id)
+      LEFT JOIN (SELECT c_custkey, CASE WHEN c_nationkey % 4 = 1 THEN least(r_name, 'ASIA') ELSE r_name END AS r_name
+        FROM customer JOIN nation ON c_nationkey = n_nationkey
+        JOIN region ON n_regionkey = r_regionkey WHERE c_nationkey % 3 <> 0) ON station = CAST(c_custkey AS VARCHAR) GROUP BY 1""",
     "report_hour_profile": f"{STAR_WITH} SELECT CAST(record_time AS INTEGER) AS hour, {REPORT} FROM fact GROUP BY 1",
     "region_rollup": f"""WITH c AS (
         SELECT r_name AS region, CAST(CAST(c_acctbal AS DECIMAL(12,2)) * 100 AS BIGINT) AS cents
@@ -293,6 +303,7 @@ ORACLE: dict[str, str] = {
       CAST(c_custkey % 15 + 5 AS DECIMAL(10,4)) AS latitude, CAST(c_custkey % 8 + 97 AS DECIMAL(10,4)) AS longitude
       FROM customer""",
     "parquet_roundtrip": "SELECT * FROM lineitem",
+    "typed_table_reset": "SELECT CAST(s_suppkey AS INTEGER) AS customer_id, s_name AS customer_name FROM supplier",
     "typed_table_load": """SELECT CAST(row_number() OVER (ORDER BY o_orderkey) AS INTEGER) AS record_id,
       CAST(o_custkey AS INTEGER) AS customer_id, CAST(o_totalprice AS DECIMAL(12,2)) AS price,
       CAST(o_orderdate AS DATE) AS order_date, c_name AS customer_name

@@ -124,8 +124,8 @@ def star_join(spark: SparkSession, sf: str) -> DataFrame:
     return star.star_join(s.fact, s.dates, s.times, s.stations, "station_id")
 
 
-def user_regions(spark: SparkSession, sf: str) -> DataFrame:
-    customers = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("station"), "c_nationkey")
+def user_regions(spark: SparkSession, sf: str, which: str = "true") -> DataFrame:
+    customers = table(spark, sf, "customer").where(which).select(F.col("c_custkey").cast("string").alias("station"), "c_nationkey")
     nations = table(spark, sf, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
     regions = table(spark, sf, "region").withColumnRenamed("r_regionkey", "n_regionkey")
     return customers.join(nations, "c_nationkey").join(regions, "n_regionkey").select(
@@ -147,6 +147,14 @@ def report_region(spark: SparkSession, sf: str) -> DataFrame:
     return reports.regional(s.fact, s.stations, "station_id", "station", regions)
 
 
+def report_region_partial(spark: SparkSession, sf: str) -> DataFrame:
+    """Some stations have no region and some have two."""
+    s = EventStar(spark, sf)
+    regions = user_regions(spark, sf, "c_nationkey % 3 <> 0")
+    twice = user_regions(spark, sf, "c_nationkey % 3 <> 0 AND c_nationkey % 4 = 1").withColumn("region", F.lit("ASIA"))
+    return reports.regional(s.fact, s.stations, "station_id", "station", regions.unionByName(twice))
+
+
 # --- documents -----------------------------------------------------------------------------------
 
 def station_name(user_id: str) -> Column:
@@ -178,6 +186,34 @@ def landing_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def landing_folder(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from one folder per station."""
+    docs = landing.read_landed(spark, landed_path(spark, sf, "folder"), layout="folder")
+    return landing.explode_readings(docs).select(
+        "province_name", "latitude", "longitude", F.unix_timestamp("datetime").alias("dt"), "pm2_5"
+    )
+
+
+def extraction(spark: SparkSession, sf: str) -> DataFrame:
+    """Readings of the listed stations in a week, with coordinates from a list, landed and read back."""
+    customers = table(spark, sf, "customer")
+    listed = customers.where("c_custkey % 2 = 0").select(station_name("c_custkey").alias("province_name"))
+    coordinates = customers.select(
+        F.col("c_custkey").cast("int").alias("province_id"), station_name("c_custkey").alias("province_name"),
+        (F.col("c_custkey") % 15 + 5).cast("decimal(10,4)").alias("latitude"),
+        (F.col("c_custkey") % 8 + 97).cast("decimal(10,4)").alias("longitude"),
+    )
+    start, end = (
+        spark.range(1).select(epoch_seconds(F.lit(t), ZONE)).first()[0] for t in ("2024-01-08 00:00:00", "2024-01-15 00:00:00")
+    )
+    path = scratch_path(spark, "extracted")
+    readings = flat_readings(spark, sf).select("province_name", "dt", "pm2_5")
+    air_quality.extract(readings, listed, coordinates, start, end, path)
+    return landing.explode_readings(landing.read_landed(spark, path, layout="field")).select(
+        "province_name", "latitude", "longitude", F.unix_timestamp("datetime").alias("dt"), "pm2_5"
+    )
+
+
 def landing_report(spark: SparkSession, sf: str) -> DataFrame:
     docs = landing.read_landed(spark, landed_path(spark, sf, "field"), layout="field")
     expected = table(spark, sf, "customer").select(station_name("c_custkey").alias("province_name"))
@@ -251,6 +287,19 @@ def typed_table_load(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(f"{database}.fact_orders").join(spark.table(f"{database}.dim_customer"), "customer_id")
 
 
+def typed_table_reset(spark: SparkSession, sf: str) -> DataFrame:
+    """Load a table, set it up again at the same place, and load other rows: the first are gone."""
+    location = scratch_path(spark, "reset")
+    database = "reset_" + location.rsplit("-", 1)[1]
+    for name, columns in (("customer", ("c_custkey", "c_name")), ("supplier", ("s_suppkey", "s_name"))):
+        tables.setup_star(spark, database, location, TYPED)
+        if not spark.table(f"{database}.dim_customer").isEmpty():
+            raise RuntimeError("rows are left after the set-up")
+        rows = table(spark, sf, name).select(*columns)
+        tables.load_by_position(rows, f"{database}.dim_customer", TYPED["dim_customer"])
+    return spark.table(f"{database}.dim_customer")
+
+
 def csv_reference_scan(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "names")
     rows = table(spark, sf, "customer").select("c_custkey", F.col("c_name").alias("ADM1_EN"), "c_mktsegment")
@@ -366,6 +415,8 @@ QUERIES: dict[str, Query] = {
         "event_id", F.from_json("props", "k INT")["k"].alias("k")),
     "nest_explode_roundtrip": nest_explode_roundtrip,
     "landing_roundtrip": landing_roundtrip,
+    "landing_folder": landing_folder,
+    "extraction": extraction,
     "landing_report": landing_report,
     "landing_counts": landing_counts,
     "drop_negative": lambda spark, sf: series.drop_negative(
@@ -406,6 +457,7 @@ QUERIES: dict[str, Query] = {
     "report_top_entities": report(lambda s: reports.top_entities(s.fact, s.stations, "station_id", "station", 10)),
     "report_severity": report(lambda s: reports.severity_distribution(s.fact)),
     "report_region": report_region,
+    "report_region_partial": report_region_partial,
     "report_hour_profile": report(lambda s: reports.hour_profile(s.fact, s.times)),
     "region_rollup": region_rollup,
     "coord_enrich": lambda spark, sf: enrich(
@@ -425,5 +477,6 @@ QUERIES: dict[str, Query] = {
     "coordinates_scan": coordinates_scan,
     "parquet_roundtrip": parquet_roundtrip,
     "typed_table_load": typed_table_load,
+    "typed_table_reset": typed_table_reset,
     "published_fact": published_fact,
 }

@@ -37,6 +37,10 @@ class Grid:
     step_seconds: int = 3600
     chunk: int = 720
 
+    def __post_init__(self) -> None:
+        if datetime.fromisoformat(self.end) < datetime.fromisoformat(self.start):
+            raise ValueError(f"the grid ends at {self.end}, before its start {self.start}")
+
     @property
     def _start_us(self) -> Column:
         return F.unix_micros(F.lit(self.start).cast("timestamp"))
@@ -98,8 +102,10 @@ def hourly_spine(entities: DataFrame, entity: str, grid: Grid, time: str = "date
     """Every entity at every slot of the grid.
 
     The list of entities is small next to the result, so it is first cut into (entity, chunk) pieces
-    and spread over ``grid.partitions`` tasks.
+    and spread over ``grid.partitions`` tasks. Where the number of entities is not given, it is counted.
     """
+    if n_entities is None:
+        n_entities = entities.select(entity).distinct().count()
     pieces = (
         entities.select(entity)
         .distinct()

@@ -1,4 +1,4 @@
-"""Surrogate keys and size-checked lookups."""
+"""Surrogate keys and lookups."""
 
 from __future__ import annotations
 
@@ -9,26 +9,25 @@ from pyspark.sql import functions as F
 
 from hourstar.session import stored
 
-# A lookup side of up to this many rows is broadcast; dimension rows are a few hundred bytes at most.
-BROADCAST_ROWS = 200_000
-
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number of a partition in its low 33 bits
 
 
-def dense_key(df: DataFrame, order: Sequence[str], key: str, key_type: str = "int") -> DataFrame:
+def dense_key(df: DataFrame, order: Sequence[str], key: str, key_type: str = "int",
+              scratch: str | None = None) -> DataFrame:
     """Number the rows 1..N in the order of ``order``, which must identify a row.
 
     Rows are range-partitioned and sorted, so no task sees more than its share, and numbered inside
     each partition. The numbering is stored before the partition sizes are taken from it: sizes
     and rows then come from one layout, also when tasks are retried. Only one row per partition is
-    broadcast, and the large side is not shuffled again.
+    broadcast, and the large side is not shuffled again. It is stored below ``scratch``, by default the
+    shared folder.
     """
     ranged = (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_id", F.monotonically_increasing_id())
     )
-    numbered = stored(ranged, "numbered").withColumn("_part", F.shiftright("_id", _ROW_BITS))
+    numbered = stored(ranged, "numbered", scratch).withColumn("_part", F.shiftright("_id", _ROW_BITS))
     sizes = numbered.groupBy("_part").agg(F.count("*").alias("_size"))
     # One row per partition: this window is as small as the partition count.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -40,19 +39,28 @@ def dense_key(df: DataFrame, order: Sequence[str], key: str, key_type: str = "in
 
 
 def lookup_join(df: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str = "inner") -> DataFrame:
-    """Join a lookup table, broadcasting it only if a count proves it small.
+    """Join a lookup table. No job runs and nothing is hinted.
+
+    The planner broadcasts a side whose size is known to be small, AQE one that turns out to be;
+    beyond that it is a shuffle join, where AQE splits skewed partitions of ``df``.
+    """
+    return df.join(lookup, on, how)
+
+
+def first_row(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """One whole row per key: the smallest by ``order``, among equals by all other columns in turn.
 
-    Beyond the bound it is an ordinary shuffle join, where AQE splits skewed partitions of ``df``.
-    ``lookup`` should be cheap to count: a stored table.
+    The order is total, so the same row is kept whatever the layout. Copies of a key are combined
+    before the shuffle.
     """
-    small = lookup.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return df.join(F.broadcast(lookup) if small else lookup, on, how)
+    rest = [order, *(c for c in df.columns if c not in keys and c != order)]
+    least = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_least"))
+    return least.select(*keys, "_least.*").select(*df.columns)
 
 
 def first_match(df: DataFrame, key: str, order: str) -> DataFrame:
     """The first row per key by ``order``, as a lookup that answers each key once."""
-    rest = [c for c in df.columns if c != key]
-    return df.groupBy(key).agg(*[F.min_by(c, order).alias(c) for c in rest])
+    return first_row(df, [key], order)
 
 
 def enrich(df: DataFrame, lookup: DataFrame, key: str, order: str, columns: Sequence[str]) -> DataFrame:

@@ -163,9 +163,31 @@ def fk_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFra
     return keys.join(parent.select(F.col(pk).alias(fk)), fk, "left_anti")
 
 
+def foreign_key_verdicts(table: str, child: DataFrame, keys: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Orphan counts of all foreign keys (``fk -> (parent, pk)``) from one pass over the child.
+
+    Grouping sets count its rows per value of each key before the join; keys are compared as text.
+    """
+    names = list(keys)
+    own = child.select(*[F.col(c).cast("string").alias(c) for c in names])
+    sets = own.groupingSets([[F.col(c)] for c in names], *names).agg(F.grouping_id().alias("_set"), F.count("*").alias("_n"))
+    # In the grouping id a zero bit marks the column that a row is grouped by; the first column has the highest bit.
+    every = (1 << len(names)) - 1
+    ids = {c: every ^ 1 << (len(names) - 1 - i) for i, c in enumerate(names)}
+    values = sets.select("_set", F.coalesce(*names).alias("_value"), "_n").where("_value IS NOT NULL")
+    parents = reduce(DataFrame.unionByName, [
+        parent.select(F.lit(ids[c]).cast("long").alias("_set"), F.col(pk).cast("string").alias("_value"))
+        for c, (parent, pk) in keys.items()
+    ]).where("_value IS NOT NULL").distinct()
+    orphans = values.join(parents, ["_set", "_value"], "left_anti")
+    counts = orphans.agg(*[
+        F.coalesce(F.sum(F.when(F.col("_set") == ids[c], F.col("_n"))), F.lit(0)).alias(f"_o{i}") for i, c in enumerate(names)
+    ])
+    return _verdicts(counts, table, {f"_o{i}": Rule("orphan_count", c) for i, c in enumerate(names)})
+
+
 def foreign_key_verdict(table: str, child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
-    orphans = fk_orphans(child, fk, parent, pk).agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("value"))
-    return _verdicts(orphans, table, {"value": Rule("orphan_count", fk)})
+    return foreign_key_verdicts(table, child, {fk: (parent, pk)})
 
 
 def missing_keys(expected: DataFrame, found: DataFrame, key: str) -> DataFrame:
@@ -193,6 +215,7 @@ def _columns(table: str) -> SchemaRule:
     ))
 
 
+# The bounds of the rules.
 def star_rules(n_entities: int, record_id_type: str = "int") -> dict[str, list[Rule | SchemaRule]]:
     """The rules of the star schema; ``n_entities`` is the number of provinces expected."""
     def not_null(*columns: str) -> list[Rule]:
@@ -213,25 +236,25 @@ def star_rules(n_entities: int, record_id_type: str = "int") -> dict[str, list[R
         "dim_province": [
             Rule("row_count", None, "=", n_entities),
             *not_null("province_id", "province_name", "latitude", "longitude"),
-            *unique("province_id", "province_name"),
+            *unique(schemas.PRIMARY_KEYS["dim_province"], "province_name"),
             *within("province_id", 1, n_entities, exactly),
         ],
         "dim_date": [
             *not_null(*schemas.STAR["dim_date"]),
-            *unique("date_key", "date"),
+            *unique(schemas.PRIMARY_KEYS["dim_date"], "date"),
             *length("date_key", 8), *length("day_of_week", 3),
             *within("quarter", 1, 4), *within("month", 1, 12), *within("day", 1, 31),
             Rule("invalid_count", "day_of_week", valid=DAYS_OF_WEEK),
         ],
         "dim_time": [
             *not_null("time_key", "hour"),
-            *unique("time_key", "hour"),
+            *unique(schemas.PRIMARY_KEYS["dim_time"], "hour"),
             *length("time_key", 2),
             *within("hour", 0, 23),
         ],
         "fact_air_quality": [
             *not_null(*schemas.STAR["fact_air_quality"]),
-            *unique("record_id"),
+            *unique(schemas.PRIMARY_KEYS["fact_air_quality"]),
             *within("record_id", 1),
             *length("record_date", 8), *length("record_time", 2),
             *within("province_id", 1, n_entities, exactly),
@@ -247,8 +270,5 @@ def star_rules(n_entities: int, record_id_type: str = "int") -> dict[str, list[R
 
 def star_foreign_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Verdicts on the three foreign keys of the fact."""
-    parts = [
-        foreign_key_verdict("fact_air_quality", tables["fact_air_quality"], fk, tables[dim], pk)
-        for fk, (dim, pk) in schemas.FOREIGN_KEYS.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    keys = {fk: (tables[dim], pk) for fk, (dim, pk) in schemas.FOREIGN_KEYS.items()}
+    return foreign_key_verdicts("fact_air_quality", tables["fact_air_quality"], keys)

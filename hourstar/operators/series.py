@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hourstar.functions.values import round_reading
 from hourstar.operators.grid import Grid, hourly_spine
+from hourstar.operators.keys import first_row
 
 
 def sql_type(df: DataFrame, column: str) -> str:
@@ -29,11 +30,11 @@ def clean_readings(df: DataFrame, value: str) -> DataFrame:
 def dedup(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """One row per key: the one with the smallest ``order``, a column without nulls.
 
-    A hash aggregate rather than a row number: copies of a key are combined before the shuffle, so
-    a key that holds a large part of the rows arrives as one row per map task.
+    Rows equal in ``order`` are told apart by their other columns. An aggregate rather than a row
+    number: copies of a key are combined before the shuffle, so a key that holds a large part of the
+    rows arrives as one row per map task.
     """
-    rest = [c for c in df.columns if c not in keys]
-    return df.groupBy(*keys).agg(*[F.min_by(c, order).alias(c) for c in rest]).select(*df.columns)
+    return first_row(df, keys, order)
 
 
 def _mean(df: DataFrame, column: str, decimals: int) -> Column:
@@ -112,8 +113,10 @@ def complete_series(readings: DataFrame, entities: DataFrame, *, entity: str, ti
 
     ``attributes`` are further columns filled with their entity mean, as column -> decimals.
     ``readings`` is scanned twice (means, values): pass a stored table, not a parse of raw files.
-    ``n_entities``, where known, sizes the partitions of the grid.
+    ``n_entities`` sizes the partitions of the grid; where it is not given, the entities are counted.
     """
+    if n_entities is None:
+        n_entities = entities.select(entity).distinct().count()
     halo = rows - 1
     if halo > grid.chunk:
         raise ValueError("a chunk must be at least as long as the window")
@@ -138,7 +141,8 @@ def complete_series(readings: DataFrame, entities: DataFrame, *, entity: str, ti
     placed = on_grid.select(entity, grid.slot_of(F.col(time)).alias("_slot"), *{order: None, **fill})
     kept = (
         placed.groupBy(entity, "_slot")
-        .agg(*[F.min_by(c, order).alias(c) for c in fill])
+        .agg(F.min(F.struct(F.col(order).alias("_order"), *fill)).alias("_first"))
+        .select(entity, "_slot", *[F.col(f"_first.{c}").alias(c) for c in fill])
         .withColumn("_chunk", F.explode(grid.chunks_needing(slot, halo)))
         .withColumn("_reading", F.lit(True))
     )

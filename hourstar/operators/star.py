@@ -11,7 +11,7 @@ from hourstar.operators.keys import dense_key, lookup_join
 
 
 def dim_entity(df: DataFrame, entity: str, key: str, attributes: Sequence[str] = (),
-               key_type: str = "int") -> DataFrame:
+               key_type: str = "int", scratch: str | None = None) -> DataFrame:
     """One row per entity name, numbered 1..N in name order.
 
     The number is positional: a new name renumbers the ones after it. Should attributes differ
@@ -21,7 +21,7 @@ def dim_entity(df: DataFrame, entity: str, key: str, attributes: Sequence[str] =
     if attributes:
         least = F.min(F.struct(*attributes))
         names = names.groupBy(entity).agg(least.alias("_a")).select(entity, "_a.*")
-    return dense_key(names, [entity], key, key_type)
+    return dense_key(names, [entity], key, key_type, scratch)
 
 
 def dim_date(df: DataFrame, time: str) -> DataFrame:
@@ -50,7 +50,7 @@ def dim_time(df: DataFrame, time: str) -> DataFrame:
 def fact(df: DataFrame, dim: DataFrame, entity: str, time: str, key: str, measures: Sequence[str]) -> DataFrame:
     """Fact rows with date and time keys, and the entity name replaced by its number.
 
-    The keys are their zero-padded text. ``dim`` is broadcast only if it is counted to be small.
+    The keys are their zero-padded text. Whether ``dim`` is broadcast is left to its size.
     """
     return lookup_join(df, dim.select(entity, key), entity).select(
         F.date_format(time, "yyyyMMdd").alias("record_date"),

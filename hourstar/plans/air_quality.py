@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hourstar import schemas
 from hourstar.functions.aqi import with_aqi
 from hourstar.operators.grid import Grid
-from hourstar.operators.keys import dense_key
 from hourstar.operators.quality import gate, scan, star_foreign_keys, star_rules
 from hourstar.operators.series import clean_readings, complete_series
 from hourstar.operators.star import dim_date, dim_entity, dim_time, fact
-from hourstar.sources.landing import explode_readings, landed_files, landing_status, read_landed, require_all
-from hourstar.sources.tables import read_table, recreate_table, write_table
+from hourstar.operators.keys import enrich
+from hourstar.sources.landing import (
+    between_epochs, explode_readings, land, landed_files, landing_status, read_landed, reading_documents, require_all,
+)
+from hourstar.sources.tables import declared, point_view, read_table, write_table
 
 ENTITY, TIME, KEY = "province_name", "datetime", "province_id"
 # Coordinates are filled like the value, to four decimals.
@@ -62,17 +66,31 @@ def hourly_aqi(series: DataFrame) -> DataFrame:
     return with_aqi(series, "pm2_5_24h_avg").select(TIME, "latitude", "longitude", ENTITY, "pm2_5", "aqi")
 
 
-def star_tables(aqi: DataFrame, record_id_type: str = "int") -> dict[str, DataFrame]:
-    """The four tables. ``aqi`` should be stored: every table reads it."""
-    provinces = dim_entity(aqi, ENTITY, KEY, list(COORDINATES))
-    rows = fact(aqi, provinces, ENTITY, TIME, KEY, ["pm2_5", "aqi"])
-    return {
-        "dim_province": provinces,
-        "dim_date": dim_date(aqi, TIME),
-        "dim_time": dim_time(aqi, TIME),
-        # Files hold ranges of the key's order, so row-group statistics prune by date.
-        "fact_air_quality": dense_key(rows, ["record_date", "record_time", KEY], "record_id", record_id_type),
-    }
+def extract(readings: DataFrame, provinces: DataFrame, coordinates: DataFrame, start: int, end: int, path: str,
+            layout: str = "field") -> None:
+    """Land the readings (``province_name, dt, pm2_5``) of the listed provinces between two Unix times, both inclusive.
+
+    Every province gets its coordinates, those of the smallest id where a name is listed twice, and
+    its readings become documents below ``path``.
+    """
+    listed = between_epochs(readings, "dt", start, end).join(provinces.select(ENTITY).distinct(), ENTITY, "left_semi")
+    placed = enrich(listed, coordinates, ENTITY, KEY, list(COORDINATES))
+    land(reading_documents(placed), path, layout=layout)
+
+
+def numbered_fact(aqi: DataFrame, provinces: DataFrame, start: str, end: str, record_id_type: str) -> DataFrame:
+    """The fact with ``record_id`` 1..N in the order of hour and province.
+
+    The series is complete, so the number follows from the hour's slot and the province's number by
+    arithmetic: no pass for ordering, no second copy. Files hold ranges of it, so row-group
+    statistics prune by date.
+    """
+    n = provinces.agg(F.coalesce(F.max(KEY), F.lit(0))).first()[0]
+    number = Grid(start, end).slot_of(F.col("_time")).cast("long") * n + F.col(KEY)
+    rows = fact(aqi.withColumn("_time", F.col(TIME)), provinces, ENTITY, TIME, KEY, ["_time", "pm2_5", "aqi"])
+    rows = rows.withColumn("record_id", number.cast(record_id_type)).drop("_time")
+    columns = ["record_id", *(c for c in rows.columns if c != "record_id")]
+    return rows.select(*columns).repartitionByRange("record_id").sortWithinPartitions("record_id")
 
 
 def build(spark: SparkSession, provinces: DataFrame, job: Job, n_provinces: int | None = None) -> str:
@@ -88,15 +106,21 @@ def build(spark: SparkSession, provinces: DataFrame, job: Job, n_provinces: int
     readings = spark.read.schema(schemas.READINGS).parquet(f"{version}/readings")
     write_table(landing_status(provinces, readings, ENTITY), f"{version}/landing", compact=True)
     landed = spark.read.parquet(f"{version}/landing").filter("status <> 'missing'")
-    require_all(provinces, landed, ENTITY)
+    require_all(provinces, landed, ENTITY, version)
 
     cleaned = clean_readings(readings, "pm2_5")
     series = hourly_series(cleaned, provinces, job.start, job.end, n_provinces)
     write_table(hourly_aqi(series), f"{version}/hourly_aqi")
     aqi = spark.read.parquet(f"{version}/hourly_aqi")
 
-    for name, table in star_tables(aqi, job.record_id_type).items():
-        write_table(table, f"{version}/{name}", compact=name.startswith("dim_"))
+    def write(name: str, table: DataFrame) -> None:
+        write_table(declared(table, job.star[name]), f"{version}/{name}", compact=name.startswith("dim_"))
+
+    write("dim_province", dim_entity(aqi, ENTITY, KEY, list(COORDINATES), scratch=version))
+    write("dim_date", dim_date(aqi, TIME))
+    write("dim_time", dim_time(aqi, TIME))
+    stored_provinces = read_table(spark, f"{version}/dim_province", job.star["dim_province"])
+    write("fact_air_quality", numbered_fact(aqi, stored_provinces, job.start, job.end, job.record_id_type))
     return version
 
 
@@ -113,17 +137,23 @@ def audit(spark: SparkSession, version: str, job: Job, n_provinces: int) -> Data
 
 
 def publish(spark: SparkSession, version: str, job: Job) -> None:
-    """Make a version the current one. Only metadata changes; no data is copied."""
+    """Make a version the current one. Only metadata changes; no data is copied and nothing is deleted.
+
+    The release is one new marker file: until it is there, the version before stays current, and
+    afterwards this one is. Names in a catalog are then replaced one by one, dimensions first.
+    """
+    release = spark.createDataFrame([(time.time_ns(), version)], "published LONG, version STRING").coalesce(1)
+    release.write.json(f"{job.out.rstrip('/')}/releases/{version.rsplit('/', 1)[1]}")
     if job.database:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {job.database}")
         for table, columns in job.star.items():
-            recreate_table(spark, f"{job.database}.{table}", columns, f"{version}/{table}")
-    spark.createDataFrame([(version,)], "version STRING").write.mode("overwrite").json(f"{job.out.rstrip('/')}/current")
+            point_view(spark, f"{job.database}.{table}", columns, f"{version}/{table}")
 
 
 def published(spark: SparkSession, job: Job) -> dict[str, DataFrame]:
     """The current version's tables."""
-    version = spark.read.schema("version STRING").json(f"{job.out.rstrip('/')}/current").first().version
+    releases = spark.read.schema("published LONG, version STRING").json(f"{job.out.rstrip('/')}/releases/*")
+    version = releases.agg(F.max_by("version", "published")).first()[0]
     return open_star(spark, version, job)
 
 
@@ -131,7 +161,7 @@ def run(spark: SparkSession, provinces: DataFrame, job: Job) -> DataFrame:
     """Check the landing, build, audit, and publish only if every rule passes. Returns the verdicts."""
     if job.layout != "field":
         # The listing alone shows what is missing, before anything is parsed.
-        require_all(provinces, landed_files(spark, job.raw, ENTITY, job.layout), ENTITY)
+        require_all(provinces, landed_files(spark, job.raw, ENTITY, job.layout), ENTITY, job.out)
     n_provinces = provinces.select(ENTITY).distinct().count()
     version = build(spark, provinces, job, n_provinces)
     verdicts = gate(audit(spark, version, job, n_provinces))

@@ -72,6 +72,12 @@ def severity_distribution(fact: DataFrame) -> DataFrame:
 
 def regional(fact: DataFrame, dim: DataFrame, key: str, entity: str, regions: DataFrame,
              region: str = "region") -> DataFrame:
-    """Means per region. The star has no region, so ``regions`` maps entity names to one."""
-    named = _sums(fact, key).join(dim.select(key, entity), key)
-    return lookup_join(named, regions.select(entity, region), entity).groupBy(region).agg(*_means())
+    """Means per region. The star has no region, so ``regions`` maps entity names to one.
+
+    Every hour of the fact counts once: of several regions of an entity the first by name is taken,
+    and entities without one are reported as ``unknown``.
+    """
+    named = _sums(fact, key).join(dim.select(key, entity), key, "left")
+    one = regions.where(F.col(region).isNotNull()).groupBy(entity).agg(F.min(region).alias(region))
+    placed = lookup_join(named, one, entity, "left").withColumn(region, F.coalesce(region, F.lit("unknown")))
+    return placed.groupBy(region).agg(*_means())

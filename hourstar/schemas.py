@@ -1,4 +1,7 @@
-"""Explicit schemas. Nothing in the package infers one."""
+"""Explicit schemas. Nothing in the package infers one.
+
+Fixed values: column names, types and keys of the raw documents and of the star are given.
+"""
 
 # One document per province: coordinates and the hourly readings. Other fields are not read.
 RAW = (
@@ -9,13 +12,7 @@ RAW = (
 # Readings taken out of the documents, two decimals as read.
 READINGS = (
     "latitude DECIMAL(10,4), longitude DECIMAL(10,4), province_name STRING, datetime TIMESTAMP, "
-    "pm2_5 DECIMAL(10,2)"
-)
-
-# The complete hourly series.
-SERIES = (
-    "datetime TIMESTAMP, latitude DECIMAL(10,4), longitude DECIMAL(10,4), province_name STRING, "
-    "pm2_5 DECIMAL(10,1), pm2_5_24h_avg DECIMAL(10,1)"
+    "pm2_5 DECIMAL(10,2), corrupt BOOLEAN"
 )
 
 BREAKPOINTS = {"c_low": "DOUBLE", "c_high": "DOUBLE", "i_low": "INT", "i_high": "INT"}

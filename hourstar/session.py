@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterable, Mapping
 
@@ -33,33 +32,26 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, or else a folder in the session's warehouse.
 
-    Where it is unset, a fresh temporary folder stands in, but only in local mode: on a cluster
-    a machine-local path would be lost with its executor.
+    Both are shared by all executors; a machine-local folder would be lost with its executor.
     """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="hourstar-")
-        context.setCheckpointDir(folder)
-    return folder
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that no earlier run has used."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+def scratch_path(spark: SparkSession, name: str, folder: str | None = None) -> str:
+    """A path below ``folder``, by default the shared one, that no earlier run has used."""
+    return f"{(folder or shared_dir(spark)).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet below the shared folder and read it back.
+def stored(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet below ``folder``, by default the shared one, and read it back.
 
     It is then computed once, outlives executors, is read by column, and its size is known to the
     optimizer.
     """
-    path = scratch_path(df.sparkSession, name)
+    path = scratch_path(df.sparkSession, name, folder)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

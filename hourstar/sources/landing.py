@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourstar import schemas
 from hourstar.operators.quality import completeness, missing_keys
-from hourstar.session import shuffle_partitions
+from hourstar.session import scratch_path, shuffle_partitions
 
 # A landed document holds at most this many readings. A power of two, so that blocks of
 # monotonically increasing ids never span two partitions.
 MAX_READINGS = 4096
 
+LAYOUTS = ("file", "folder", "field")
+
 
 def nest(df: DataFrame, entity: str, items: str, fields: list[Column], order: list[str],
          header: list[str] | None = None) -> DataFrame:
@@ -54,6 +58,8 @@ def land(docs: DataFrame, path: str, entity: str = "province_name", layout: str
     large numbers of entities. ``folder`` gives each entity a folder. Either way tasks take ranges
     of (entity, first reading), so a large entity is written by several tasks.
     """
+    if layout not in ("field", "folder"):
+        raise ValueError(f"cannot write layout {layout!r}")
     by = [entity, "_first", "_tie"]
     keyed = docs.withColumn("_first", F.col("list").getItem(0)["dt"]).withColumn("_tie", F.monotonically_increasing_id())
     if layout == "folder":
@@ -74,12 +80,18 @@ def read_landed(spark: SparkSession, path: str, entity: str = "province_name", l
     """All documents in one relation with the explicit raw schema; fields not in it are not parsed.
 
     The entity is the name of an ``<entity>.json`` file (``file``), of a folder (``folder``), or a
-    field of the document (``field``).
+    field of the document (``field``). ``corrupt`` marks lines that are no whole document.
     """
-    reader = spark.read.option("pathGlobFilter", "*.json")
+    if layout not in LAYOUTS:
+        raise ValueError(f"unknown layout {layout!r}")
+    reader = spark.read.option("pathGlobFilter", "*.json").option("columnNameOfCorruptRecord", "_corrupt")
+    fields = f"{schemas.RAW}, _corrupt STRING"
     if layout == "file":
-        return reader.schema(schemas.RAW).json(path).select("*", _entity_of_file(entity))
-    return reader.schema(f"{schemas.RAW}, `{entity}` STRING").json(path)
+        docs = reader.schema(fields).json(path).select("*", _entity_of_file(entity))
+    else:
+        docs = reader.schema(f"{fields}, `{entity}` STRING").json(path)
+    # A value too wide for its type also counts as corrupt to the reader, but leaves the other fields.
+    return docs.withColumn("corrupt", F.col("_corrupt").isNotNull() & F.col("list").isNull()).drop("_corrupt")
 
 
 def landed_files(spark: SparkSession, path: str, entity: str = "province_name", layout: str = "file") -> DataFrame:
@@ -100,12 +112,14 @@ def landed_files(spark: SparkSession, path: str, entity: str = "province_name",
 def explode_readings(docs: DataFrame, entity: str = "province_name", keep_empty: bool = False) -> DataFrame:
     """One row per reading. Documents without readings give none, or with ``keep_empty`` one row of nulls."""
     explode = F.explode_outer if keep_empty else F.explode
-    return docs.select("coord", entity, explode("list").alias("record")).select(
+    corrupt = [F.col("corrupt")] if "corrupt" in docs.columns else []
+    return docs.select("coord", entity, *corrupt, explode("list").alias("record")).select(
         F.col("coord.lat").alias("latitude"),
         F.col("coord.lon").alias("longitude"),
         entity,
         F.timestamp_seconds("record.dt").alias("datetime"),
         F.col("record.components.pm2_5").alias("pm2_5"),
+        *corrupt,
     )
 
 
@@ -129,30 +143,36 @@ class LandingError(RuntimeError):
     """The landing is empty or incomplete."""
 
 
-def require_all(expected: DataFrame, found: DataFrame, entity: str = "province_name") -> int:
+def require_all(expected: DataFrame, found: DataFrame, entity: str = "province_name", listed: str | None = None) -> int:
     """How many entities were expected, if all of them were found; raises otherwise.
 
-    The message names the first missing entities; ``missing_keys`` has them all.
+    All missing entities are written as a table, below ``listed`` or in the shared folder, and the
+    error names it.
     """
     if found.isEmpty():
         raise LandingError("nothing has landed")
     counts = completeness(expected, found, entity).first()
     if counts.missing:
-        first = missing_keys(expected, found, entity).orderBy(entity).limit(100).collect()
-        raise LandingError(f"{counts.missing} of {counts.expected} missing: {', '.join(r[0] for r in first)}")
+        path = f"{listed.rstrip('/')}/missing-{uuid.uuid4().hex}" if listed else scratch_path(expected.sparkSession, "missing")
+        missing_keys(expected, found, entity).write.parquet(path)
+        raise LandingError(f"{counts.missing} of {counts.expected} missing, listed in {path}")
     return counts.expected
 
 
 def landing_status(expected: DataFrame, readings: DataFrame, entity: str = "province_name") -> DataFrame:
-    """Every expected entity with its readings, and ``ok``, ``missing`` or ``no readings``.
+    """Every expected entity with its readings and corrupt lines, and ``ok``, ``corrupt``, ``missing`` or ``no readings``.
 
-    ``readings`` comes from ``explode_readings(.., keep_empty=True)``. A pretty-printed file parses
-    to documents without a list, so it shows up as ``no readings``.
+    ``readings`` comes from ``explode_readings(.., keep_empty=True)``. The lines of a pretty-printed
+    file are no documents, so it shows up as ``corrupt``.
     """
-    found = readings.groupBy(entity).agg(F.count("datetime").alias("readings"))
-    status = F.when(F.col("readings").isNull(), "missing").when(F.col("readings") == 0, "no readings").otherwise("ok")
+    corrupt = F.count_if("corrupt") if "corrupt" in readings.columns else F.lit(0).cast("long")
+    found = readings.groupBy(entity).agg(F.count("datetime").alias("readings"), corrupt.alias("corrupt"))
+    status = (
+        F.when(F.col("readings").isNull(), "missing").when(F.col("corrupt") > 0, "corrupt")
+        .when(F.col("readings") == 0, "no readings").otherwise("ok")
+    )
     return (
         expected.select(entity).distinct().join(found, entity, "left")
         .withColumn("status", status)
-        .fillna(0, ["readings"])
+        .fillna(0, ["readings", "corrupt"])
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,9 +29,21 @@ def read_table(spark: SparkSession, path: str, columns: Mapping[str, str]) -> Da
 
 
 def recreate_table(spark: SparkSession, name: str, columns: Mapping[str, str], location: str) -> None:
-    """Drop and create a typed external Parquet table."""
+    """Drop a typed external Parquet table and create it without rows.
+
+    Dropping an external table keeps its files, so what lies at the location is overwritten.
+    """
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"CREATE TABLE {name} ({schemas.columns_ddl(columns)}) USING parquet LOCATION '{location}'")
+    spark.createDataFrame([], spark.table(name).schema).write.insertInto(name, overwrite=True)
+
+
+def point_view(spark: SparkSession, name: str, columns: Mapping[str, str], location: str) -> None:
+    """Let a catalog name stand for the Parquet folder at ``location``, in one step."""
+    names = ", ".join(f"CAST(`{c}` AS {schemas.simple_type(t)}) AS `{c}`" for c, t in columns.items())
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {names} FROM parquet.`{location}`")
 
 
 def setup_star(spark: SparkSession, database: str, location: str,
@@ -45,6 +58,19 @@ def _not_null(column: Column, name: str) -> Column:
     return F.when(column.isNull(), F.raise_error(F.lit(f"{name} must not be null"))).otherwise(column)
 
 
+def declared(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """The columns in their declared types. A null in a NOT NULL column, a text longer than its VARCHAR and a
+    value that does not fit its type stop the write."""
+    def checked(name: str, sql_type: str) -> Column:
+        column = F.col(name).cast(schemas.simple_type(sql_type))
+        if found := re.match(r"VARCHAR\((\d+)\)", sql_type):
+            long = F.raise_error(F.lit(f"{name} is longer than {found[1]}"))
+            column = F.when(F.length(column) > int(found[1]), long).otherwise(column)
+        return (_not_null(column, name) if sql_type.endswith("NOT NULL") else column).alias(name)
+
+    return df.select(*[checked(c, t) for c, t in columns.items()])
+
+
 def load_by_position(df: DataFrame, table: str, columns: Mapping[str, str] | None = None) -> None:
     """Replace a table's rows; columns are matched by position and cast to the table's types.
 

@@ -121,19 +121,24 @@ def test_province_without_readings_is_reported_not_fatal(bangkok, raw, tmp_path)
     version = build(bangkok, names, j)
     status = {r.province_name: r.status for r in bangkok.read.parquet(f"{version}/landing").collect()}
     assert status == {"Bangkok": "ok", "Chiang Mai": "ok", "A+B 100%": "ok", "Empty": "no readings",
-                      "Pretty": "no readings"}
+                      "Pretty": "corrupt"}
     assert open_star(bangkok, version, j)["dim_province"].count() == 3
     failed = {(r.table, r.check) for r in audit(bangkok, version, j, 5).filter("not passed").collect()}
     assert ("dim_province", "row_count") in failed
     with pytest.raises(QualityError, match="row_count = 5, found 3"):
         run(bangkok, names, j)
-    assert not (tmp_path / "out" / "current").exists()
+    assert not (tmp_path / "out" / "releases").exists()
 
 
 def test_missing_province_stops_the_job(bangkok, raw, tmp_path):
     names = entities_from_text(bangkok, NAMES + ",Bang,Trat")
-    with pytest.raises(LandingError, match="2 of 5 missing: Bang, Trat"):
+    with pytest.raises(LandingError, match="2 of 5 missing, listed in"):
         run(bangkok, names, job(raw, tmp_path))
+    many = entities_from_text(bangkok, ",".join([NAMES, *(f"P{k}" for k in range(150))]))
+    with pytest.raises(LandingError, match="150 of 153 missing") as raised:
+        run(bangkok, many, job(raw, tmp_path))
+    listed = bangkok.read.parquet(str(raised.value).rsplit(" ", 1)[1])
+    assert {r.province_name for r in listed.collect()} == {f"P{k}" for k in range(150)}
     empty = tmp_path / "nothing"
     empty.mkdir()
     with pytest.raises(LandingError, match="nothing"):
@@ -154,3 +159,54 @@ def test_landed_documents_read_back(bangkok, raw, tmp_path, layout):
     assert sum(r.status == "ok" for r in status) == 3
     if layout == "folder":
         assert require_all(entities_from_text(bangkok, NAMES), landed_files(bangkok, path, layout=layout)) == 3
+
+
+def test_layouts_are_checked(bangkok, raw, tmp_path):
+    docs = read_landed(bangkok, str(raw))
+    with pytest.raises(ValueError, match="file"):
+        land(docs, str(tmp_path / "x"), layout="file")
+    with pytest.raises(ValueError, match="nothing"):
+        read_landed(bangkok, str(raw), layout="nothing")
+
+
+def test_a_truncated_line_is_counted(bangkok, raw):
+    good = json.dumps(document([(0, 1.0), (HOUR, 2.0)]))
+    (raw / "Cut.json").write_text(good + "\n" + good[:60] + "\n")
+    readings = explode_readings(read_landed(bangkok, str(raw)), keep_empty=True)
+    rows = {r.province_name: r for r in landing_status(entities_from_text(bangkok, NAMES + ",Cut"), readings).collect()}
+    assert (rows["Cut"].status, rows["Cut"].readings, rows["Cut"].corrupt) == ("corrupt", 2, 1)
+    assert {rows[n].status for n in NAMES.split(",")} == {"ok"}
+
+
+def test_failed_publication_leaves_the_release_before(bangkok, raw, tmp_path, monkeypatch):
+    from hourstar.plans import air_quality
+
+    names = entities_from_text(bangkok, NAMES)
+    first = job(raw, tmp_path)
+    run(bangkok, names, first)
+    before = sorted(map(tuple, published(bangkok, first)["fact_air_quality"].collect()))
+
+    def fail(*_):
+        raise OSError("catalog is away")
+
+    monkeypatch.setattr(air_quality, "point_view", fail)
+    (raw / "Bangkok.json").write_text(json.dumps(document([(0, 1.0)])))
+    (raw / "None.json").write_text(json.dumps(document([])))
+    with pytest.raises(QualityError):
+        run(bangkok, entities_from_text(bangkok, NAMES + ",None"), first)
+    assert sorted(map(tuple, published(bangkok, first)["fact_air_quality"].collect())) == before
+    with pytest.raises(OSError):
+        run(bangkok, names, job(raw, tmp_path, database="away"))
+    after = published(bangkok, first)["fact_air_quality"]
+    assert after.count() == len(before) and sorted(map(tuple, after.collect())) != before
+
+
+def test_declared_types_are_enforced(bangkok):
+    from hourstar.schemas import STAR
+    from hourstar.sources.tables import declared
+
+    ok = bangkok.createDataFrame([("07", 7)], "time_key STRING, hour INT")
+    assert declared(ok, STAR["dim_time"]).collect()
+    for bad in (("007", 7), (None, 7), ("07", None)):
+        with pytest.raises(Exception, match="longer than 2|must not be null"):
+            declared(bangkok.createDataFrame([bad], ok.schema), STAR["dim_time"]).collect()

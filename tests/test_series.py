@@ -136,3 +136,17 @@ def test_means_keep_the_column_type(spark):
     assert dict(out.dtypes)["v_mean"] == "decimal(10,1)"
     rows = {r.e: (r.v_mean, r.lat_mean) for r in out.collect()}
     assert rows == {"a": (D("1.1"), D("7.5478")), "b": (None, D("1.0000"))}
+
+
+def test_a_grid_must_not_end_before_it_starts():
+    with pytest.raises(ValueError, match="before its start"):
+        Grid("2024-01-02 00:00:00", "2024-01-01 00:00:00")
+
+
+def test_more_entities_get_more_tasks(spark, monkeypatch):
+    from hourstar.operators import grid as module
+
+    monkeypatch.setattr(module, "ROWS_PER_TASK", 1000)
+    day = Grid("2024-01-01 00:00:00", "2024-01-10 23:00:00")
+    tasks = [hourly_spine(spark.range(n).select(F.col("id").alias("e")), "e", day).rdd.getNumPartitions() for n in (10, 1000)]
+    assert tasks[0] == 4 and tasks[1] == 240

@@ -29,13 +29,29 @@ def test_dense_key_refuses_to_overflow(spark):
         keys.dense_key(df, ["id"], "k", "tinyint").collect()
 
 
-@pytest.mark.parametrize("bound", [0, 1000])
-def test_lookup_join_is_the_same_on_both_sides_of_the_bound(spark, monkeypatch, bound):
-    monkeypatch.setattr(keys, "BROADCAST_ROWS", bound)
-    left = spark.range(100).select((F.col("id") % 7).alias("k"), "id")
-    right = spark.range(5).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
-    assert keys.lookup_join(left, right, "k").count() == 72
-    assert keys.lookup_join(left, right, "k", "left").filter("v is null").count() == 28
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+def test_lookup_join_is_the_same_whatever_the_planner_may_broadcast(spark, threshold):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        left = spark.range(100).select((F.col("id") % 7).alias("k"), "id")
+        right = spark.range(5).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+        joined = keys.lookup_join(left, right, "k")
+        assert ("BroadcastHashJoin" in joined._jdf.queryExecution().toString()) == (threshold != "-1")
+        assert joined.count() == 72
+        assert keys.lookup_join(left, right, "k", "left").filter("v is null").count() == 28
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_ties_keep_the_same_row_in_any_layout(spark):
+    rows = [(k, 1, a, 9.0 - a) for k in range(5) for a in (3.5, 0.5, 1.5, 2.5)]
+    df = spark.createDataFrame(rows, "k INT, v INT, a DOUBLE, b DOUBLE")
+    kept = [
+        sorted(tuple(r) for r in keys.first_row(df.orderBy(F.rand(seed)).repartition(n), ["k"], "v").collect())
+        for seed, n in ((1, 1), (2, 4), (3, 8))
+    ]
+    assert kept[0] == kept[1] == kept[2] and len(kept[0]) == 5
 
 
 def test_enrich_takes_the_first_match_only(spark):
@@ -88,3 +104,6 @@ def test_fact_and_reports(spark, hourly):
     regions = spark.createDataFrame([("Bangkok", "Central"), ("Trat", "East")], "name STRING, region STRING")
     assert {r.region: r.hours for r in reports.regional(facts, provinces, "id", "name", regions).collect()} == {
         "Central": 3, "East": 2}
+    loose = spark.createDataFrame([("Bangkok", "South"), ("Bangkok", "Central")], "name STRING, region STRING")
+    assert {r.region: r.hours for r in reports.regional(facts, provinces, "id", "name", loose).collect()} == {
+        "Central": 3, "unknown": 2}
