@@ -1,20 +1,35 @@
-"""spark-submit entry: provinces (comma-separated), raw folder, output folder, start, end."""
+"""spark-submit entry of the air-quality job."""
 
+import argparse
 import sys
 
 from hourstar.plans.air_quality import Job, run
 from hourstar.session import build_session
+from hourstar.sources.landing import LAYOUTS
 from hourstar.sources.lists import entities_from_text
 
 
+def parse(args: list[str]) -> argparse.Namespace:
+    parser = argparse.ArgumentParser("hourstar", description="Landed documents become an audited, published star schema.")
+    parser.add_argument("provinces", help="comma-separated names")
+    parser.add_argument("raw", help="folder of the landed documents")
+    parser.add_argument("out", help="folder of the star schema's versions")
+    parser.add_argument("start", help="first hour, a wall time of the session's zone")
+    parser.add_argument("end", help="last hour")
+    parser.add_argument("--layout", choices=LAYOUTS, default="file", help="where a document's province is named")
+    parser.add_argument("--database", help="catalog schema whose names shall stand for the published tables")
+    parser.add_argument("--record-id-type", choices=("int", "bigint"), default="int", help="bigint for a fact beyond 2^31 rows")
+    parser.add_argument("--time-zone", default="Asia/Bangkok")
+    return parser.parse_args(args)
+
+
 def main(args: list[str]) -> int:
-    if len(args) != 5:
-        print("usage: hourstar PROVINCES RAW OUT START END", file=sys.stderr)
-        return 1
-    names, raw, out, start, end = args
-    spark = build_session("hourstar air quality")
+    given = parse(args)
+    spark = build_session("hourstar air quality", given.time_zone)
     try:
-        run(spark, entities_from_text(spark, names), Job(raw, out, start, end))
+        job = Job(given.raw, given.out, given.start, given.end, layout=given.layout, record_id_type=given.record_id_type,
+                  database=given.database)
+        run(spark, entities_from_text(spark, given.provinces), job)
     finally:
         spark.stop()
     return 0
