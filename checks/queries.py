@@ -65,13 +65,16 @@ class Stream:
         return series.align(self.stations(), self.readings(), "user_id", "datetime", self.grid())
 
     def imputed(self) -> DataFrame:
-        return series.impute(self.aligned(), self.means(), "user_id", ["value"]).drop("event_id")
+        return series.align(
+            self.stations(), self.readings(), "user_id", "datetime", self.grid(), means=self.means(), columns=["value"]
+        ).drop("event_id")
 
     def rolled(self) -> DataFrame:
         """De-duplicated, aligned, imputed and rolled, one operator at a time."""
         hours = self.grid()
-        full = series.align(self.stations(), self.unique(), "user_id", "datetime", hours)
-        filled = series.impute(full, self.means(), "user_id", ["value"]).drop("event_id")
+        filled = series.align(
+            self.stations(), self.unique(), "user_id", "datetime", hours, means=self.means(), columns=["value"]
+        ).drop("event_id")
         return series.rolling_mean(filled, "user_id", "datetime", "value", hours, out="value_24h")
 
     def complete(self) -> DataFrame:

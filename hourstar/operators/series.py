@@ -54,20 +54,53 @@ def entity_mode(df: DataFrame, entity: str, value: str, out: str | None = None)
 
 
 def align(entities: DataFrame, readings: DataFrame, entity: str, time: str, grid: Grid,
-          n_entities: int | None = None) -> DataFrame:
+          n_entities: int | None = None, means: DataFrame | None = None, columns: Sequence[str] = (),
+          suffix: str = "_mean") -> DataFrame:
     """The hourly spine left-joined with the readings on (entity, time).
 
     Readings off the grid, outside the range or of an unlisted entity vanish; hours without a
-    reading appear with nulls; several readings of one hour all stay. The join is taken apart so
-    that an hour with very many readings never meets the spine as one group: the readings of listed
-    entities are kept as they are, and only the distinct keys, combined on the map side, are
-    compared with the spine to find the empty hours.
+    reading appear with nulls; several readings of one hour all stay. With ``means`` (one row per
+    entity) nulls of ``columns`` are filled at once, as ``impute`` would.
+
+    Everything is keyed by (entity, chunk), so a hot entity is many groups. Listed chunks carry the
+    means to the readings. For the empty hours only the distinct (entity, slot) keys move, combined on
+    the map side: an hour with very many readings is one of them. The hours between two keys are
+    generated after that exchange, and nothing generated is shuffled.
     """
-    on_grid = readings.filter(grid.contains(F.col(time)))
-    listed = on_grid.join(entities.select(entity).distinct(), entity, "left_semi")
-    spine = hourly_spine(entities, entity, grid, time, sql_type(readings, time), n_entities)
-    empty = spine.join(on_grid.select(entity, time).distinct(), [entity, time], "left_anti")
-    return listed.unionByName(empty, allowMissingColumns=True)
+    if n_entities is None:
+        n_entities = entities.select(entity).distinct().count()
+    slot, chunk = F.col("_slot"), F.col("_chunk")
+    carried = [c + suffix for c in columns] if means is not None else []
+    listed = entities.select(entity).distinct()
+    if carried:
+        listed = listed.join(means.select(entity, *carried), entity, "left")
+    chunks = listed.withColumn("_chunk", F.explode(F.sequence(F.lit(0), grid.last_chunk.cast("int"))))
+    on_grid = readings.filter(grid.contains(F.col(time))).withColumn("_slot", grid.slot_of(F.col(time)))
+    placed = on_grid.withColumn("_chunk", grid.chunk_of(slot))
+
+    def filled(values: Mapping[str, Column]) -> list[Column]:
+        return [values.get(c, F.col(c)).cast(sql_type(readings, c)).alias(c) for c in readings.columns]
+
+    kept = placed.join(chunks, [entity, "_chunk"]).select(
+        *filled({c: F.coalesce(F.col(c), F.col(c + suffix)) for c in columns} if carried else {}))
+
+    keys = placed.select(entity, "_chunk", "_slot").distinct().withColumn("_reading", F.lit(True))
+    anchors = chunks.withColumn("_slot", grid.chunk_start(chunk) - 1).withColumn("_reading", F.lit(False))
+    pieces = anchors.unionByName(keys, allowMissingColumns=True).repartition(
+        grid.partitions(readings.sparkSession, n_entities), entity, "_chunk"
+    )
+    in_order = Window.partitionBy(entity, "_chunk").orderBy("_slot")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    gaps = pieces.withColumns({
+        "_next": F.coalesce(F.lead("_slot").over(in_order), grid.chunk_end(chunk) + 1),
+        "_listed": ~F.first("_reading").over(so_far),
+        **{c: F.first(c).over(so_far) for c in carried},
+    }).filter(F.col("_listed") & (F.col("_next") > slot + 1))
+    hours = gaps.withColumn("_hour", F.explode(F.sequence(slot + 1, F.col("_next") - 1)))
+    given = {entity: F.col(entity), time: grid.time_of(F.col("_hour"), sql_type(readings, time))}
+    given |= {c: F.col(c + suffix) for c in columns} if carried else {}
+    empty = hours.select(*[given.get(c, F.lit(None)).cast(sql_type(readings, c)).alias(c) for c in readings.columns])
+    return kept.unionByName(empty)
 
 
 def impute(df: DataFrame, means: DataFrame, entity: str, columns: Sequence[str], suffix: str = "_mean") -> DataFrame:

@@ -52,22 +52,24 @@ def reading_documents(readings: DataFrame, entity: str = "province_name") -> Dat
 
 
 def land(docs: DataFrame, path: str, entity: str = "province_name", layout: str = "field") -> None:
-    """Write the documents as JSON lines, clustered by entity.
+    """Write the documents as JSON lines.
 
     ``field`` keeps the entity inside the documents and packs many entities into a file; it suits
-    large numbers of entities. ``folder`` gives each entity a folder. Either way tasks take ranges
-    of (entity, first reading), so a large entity is written by several tasks.
+    large numbers of entities, and writes documents in the tasks that hold them. ``folder`` gives each
+    entity a folder; there tasks take ranges of (entity, first reading), so that a large entity is
+    written by several tasks and a small one by few.
     """
     if layout not in ("field", "folder"):
         raise ValueError(f"cannot write layout {layout!r}")
-    by = [entity, "_first", "_tie"]
-    keyed = docs.withColumn("_first", F.col("list").getItem(0)["dt"]).withColumn("_tie", F.monotonically_increasing_id())
     if layout == "folder":
+        by = [entity, "_first", "_tie"]
+        keyed = docs.withColumn("_first", F.col("list").getItem(0)["dt"]).withColumn("_tie", F.monotonically_increasing_id())
         # Opening files is the work here, which does not show in the bytes AQE goes by.
         out = keyed.repartitionByRange(shuffle_partitions(docs.sparkSession), *by).drop("_first", "_tie").write
         out.partitionBy(entity).mode("overwrite").json(path)
     else:
-        keyed.repartitionByRange(*by).drop("_first", "_tie").write.mode("overwrite").json(path)
+        # Documents are bounded and already spread over tasks, so they are written where they are.
+        docs.write.mode("overwrite").json(path)
 
 
 def _entity_of_file(entity: str) -> Column:

@@ -1,6 +1,7 @@
 """Grid and series operators on small hand-made and random series."""
 
 import random
+import re
 from collections import defaultdict
 from decimal import ROUND_HALF_UP, Decimal
 
@@ -150,3 +151,32 @@ def test_more_entities_get_more_tasks(spark, monkeypatch):
     day = Grid("2024-01-01 00:00:00", "2024-01-10 23:00:00")
     tasks = [hourly_spine(spark.range(n).select(F.col("id").alias("e")), "e", day).rdd.getNumPartitions() for n in (10, 1000)]
     assert tasks[0] == 4 and tasks[1] == 240
+
+
+def test_nothing_generated_is_shuffled_and_no_exchange_is_by_the_entity_alone(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        readings = spark.range(40).select(
+            (F.col("id") % 2).cast("string").alias("e"), F.expr("timestamp'2024-01-01' + make_interval(0,0,0,0,id div 2 * 3)").alias("t"),
+            F.when(F.col("id") % 5 > 0, F.col("id").cast("decimal(10,1)")).alias("v"))
+        entities = spark.createDataFrame([("0",), ("1",), ("2",)], "e STRING")
+        day = Grid("2024-01-01 00:00:00", "2024-01-03 23:00:00", chunk=24)
+        means = series.entity_mean(readings, "e", {"v": 1})
+        fused = series.align(entities, readings, "e", "t", day, means=means, columns=["v"])
+        steps = series.impute(series.align(entities, readings, "e", "t", day), means, "e", ["v"])
+        assert sorted(map(str, fused.collect())) == sorted(map(str, steps.collect()))
+        assert fused.count() >= 3 * 72
+        lines = fused._jdf.queryExecution().executedPlan().toString().splitlines()
+        depth = [len(re.match(r"[\s:+\-|]*", line).group()) for line in lines]
+        at = next(i for i, line in enumerate(lines) if "Generate explode(sequence((_slot" in line)
+        above, level = [], depth[at]
+        for i in range(at - 1, -1, -1):
+            if depth[i] < level:
+                above.append(lines[i])
+                level = depth[i]
+        assert above and not any("Exchange" in line or "Join" in line for line in above)
+        joins = [line for line in lines if "Join" in line and "_chunk" in line]
+        assert joins and all("e#" in line for line in joins)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
