@@ -129,6 +129,22 @@ ORACLE: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
     """,
+    "op6_decontamination": r"""
+        WITH words AS (
+            SELECT 'd' AS kind, doc_id AS id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM documents
+            UNION ALL SELECT 'i', item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') FROM benchmark
+        ), shingles AS (
+            SELECT DISTINCT kind, id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS shingle
+            FROM words WHERE len(w) > 0
+        ), sizes AS (
+            SELECT id AS item_id, count(*) AS item_shingles FROM shingles WHERE kind = 'i' GROUP BY id
+        ), shared AS (
+            SELECT d.id AS doc_id, i.id AS item_id, count(*) AS shared FROM shingles d JOIN shingles i USING (shingle)
+            WHERE d.kind = 'd' AND i.kind = 'i' GROUP BY ALL
+        )
+        SELECT doc_id, item_id, shared, item_shingles, shared / item_shingles AS containment
+        FROM shared JOIN sizes USING (item_id) WHERE 10 * shared >= 8 * item_shingles
+    """,
     "op4_url_filter": r"""
         WITH parts AS (
             SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest
