@@ -1,7 +1,7 @@
 """Declarative data-quality rules, evaluated into a table of verdicts.
 
 A rule is data: a metric of a table or column, a comparison and a bound. All simple metrics of a
-table come from one aggregate pass; each duplicate count adds one pass over its own column.
+table come from one aggregate pass, all its duplicate counts from a second.
 """
 
 from __future__ import annotations
@@ -67,10 +67,25 @@ def _simple_metric(rule: Rule) -> Column:
     raise ValueError(f"unknown metric {rule.metric!r}")
 
 
-def duplicate_count(df: DataFrame, column: str) -> DataFrame:
-    """One row: how many non-null values occur more than once."""
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_n"))
-    return counts.agg(F.count_if(F.col("_n") > 1).alias("value"))
+def counts_by_column(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, dict[str, int]]:
+    """``_set, _value, _n``: the rows per non-null value of each column, from one pass; and each column's ``_set``.
+
+    Values are compared as text, so that columns of all types share the pass.
+    """
+    own = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    sets = own.groupingSets([[F.col(c)] for c in columns], *columns).agg(F.grouping_id().alias("_set"), F.count("*").alias("_n"))
+    # In the grouping id a zero bit marks the column that a row is grouped by; the first column has the highest bit.
+    every = (1 << len(columns)) - 1
+    ids = {c: every ^ 1 << (len(columns) - 1 - i) for i, c in enumerate(columns)}
+    return sets.select("_set", F.coalesce(*columns).alias("_value"), "_n").where("_value IS NOT NULL"), ids
+
+
+def duplicate_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row with ``_d0, _d1, ..``: per column, how many non-null values occur more than once."""
+    counts, ids = counts_by_column(df, columns)
+    return counts.agg(*[
+        F.count_if((F.col("_set") == ids[c]) & (F.col("_n") > 1)).alias(f"_d{i}") for i, c in enumerate(columns)
+    ])
 
 
 def _literal(value: Any) -> str:
@@ -130,9 +145,11 @@ def evaluate(table: str, df: DataFrame, rules: Sequence[Rule | SchemaRule]) -> D
     if simple:
         named = {f"_m{i}": r for i, r in enumerate(simple)}
         parts.append(_verdicts(df.agg(*[_simple_metric(r).alias(n) for n, r in named.items()]), table, named))
-    for r in present:
-        if r.metric == "duplicate_count":
-            parts.append(_verdicts(duplicate_count(df, r.column), table, {"value": r}))
+    unique = [r for r in present if r.metric == "duplicate_count"]
+    if unique:
+        columns = list(dict.fromkeys(r.column for r in unique))
+        counts = duplicate_counts(df, columns).select(*[F.col(f"_d{columns.index(r.column)}").alias(f"_m{i}") for i, r in enumerate(unique)])
+        parts.append(_verdicts(counts, table, {f"_m{i}": r for i, r in enumerate(unique)}))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -166,15 +183,10 @@ def fk_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFra
 def foreign_key_verdicts(table: str, child: DataFrame, keys: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """Orphan counts of all foreign keys (``fk -> (parent, pk)``) from one pass over the child.
 
-    Grouping sets count its rows per value of each key before the join; keys are compared as text.
+    Its rows are counted per value of each key before the join.
     """
     names = list(keys)
-    own = child.select(*[F.col(c).cast("string").alias(c) for c in names])
-    sets = own.groupingSets([[F.col(c)] for c in names], *names).agg(F.grouping_id().alias("_set"), F.count("*").alias("_n"))
-    # In the grouping id a zero bit marks the column that a row is grouped by; the first column has the highest bit.
-    every = (1 << len(names)) - 1
-    ids = {c: every ^ 1 << (len(names) - 1 - i) for i, c in enumerate(names)}
-    values = sets.select("_set", F.coalesce(*names).alias("_value"), "_n").where("_value IS NOT NULL")
+    values, ids = counts_by_column(child, names)
     parents = reduce(DataFrame.unionByName, [
         parent.select(F.lit(ids[c]).cast("long").alias("_set"), F.col(pk).cast("string").alias("_value"))
         for c, (parent, pk) in keys.items()
