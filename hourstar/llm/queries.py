@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourstar.llm import bpe, decontaminate, html_extract, sharding, simhash, token_count, topk, toxicity, url_filter, warc
+from hourstar.llm.shared import send_package
 from hourstar.session import literal_table, scratch_path
 
 SHARDS = 40
@@ -26,6 +27,7 @@ RULES = [
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    send_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -1,16 +1,39 @@
-"""Connected components."""
+"""Sending the package to executors, and connected components."""
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourstar.session import stored
 
 JUMPS = 2
 
+_sent: set[str] = set()
+
+
+def send_package(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever the driver was started, as ``--py-files`` would.
+
+    The driver zips the package once per application and Spark hands the file to every executor.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _sent:
+        return
+    package = Path(__file__).resolve().parents[1]
+    path = os.path.join(tempfile.mkdtemp(prefix="package-"), f"{package.name}.zip")
+    with zipfile.ZipFile(path, "w") as file:
+        for source in sorted(package.rglob("*.py")):
+            file.write(source, source.relative_to(package.parent))
+    context.addPyFile(path)
+    _sent.add(context.applicationId)
+
 
 def forest(pairs: Iterable[tuple[int, int]]) -> Iterator[tuple[int, int]]:
     """(node, smallest node linked to it) for all nodes but the smallest: the links of one task, thinned out."""
