@@ -115,16 +115,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op1_top_k": """
         WITH parts AS (
-            SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS at FROM embeddings
+            SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings
             WHERE vec_id IS NOT NULL
         ), bad AS (
             SELECT DISTINCT vec_id FROM parts WHERE x IS NULL OR NOT isfinite(x)
         ), v AS (
-            SELECT vec_id, at, CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) AS x FROM parts
+            SELECT vec_id, pos, CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) AS x FROM parts
             WHERE vec_id NOT IN (SELECT vec_id FROM bad)
         ), scored AS (
             SELECT q.vec_id AS query_id, d.vec_id, CAST(sum(q.x * d.x) AS BIGINT) AS score
-            FROM v q JOIN v d ON q.at = d.at AND q.vec_id <> d.vec_id
+            FROM v q JOIN v d ON q.pos = d.pos AND q.vec_id <> d.vec_id
             WHERE q.vec_id % 100 = 0 GROUP BY 1, 2
         ), ranked AS (
             SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
