@@ -46,7 +46,8 @@ from hourstar.session import stored
 
 TOXIC_SAMPLE, CLEAN_SAMPLE = 3000, 9000
 THRESHOLD = 0.3
-LEAST_SUPPORT = 6  # distinct MinHash values of toxic texts
+LEAST_SUPPORT = 4  # distinct MinHash values of toxic texts
+CHANCE = 3.0  # how many beginnings may be expected to look as telling by chance
 LEAST_RATIO = 25.0  # how much more frequent in toxic texts
 STEM_LENGTHS = range(3, 13)
 
@@ -241,7 +242,9 @@ def beginnings(text: str) -> set[str]:
 
 
 def min_hash(text: str) -> int:
-    return min((xxhash.xxh32_intdigest(w) for w in set(_WORD.findall(text.lower()))), default=0)
+    """Of the shingles of three words: unlike single words, texts that are no copies hardly share them."""
+    words = _WORD.findall(text.lower())
+    return min((xxhash.xxh32_intdigest(" ".join(words[i : i + 3])) for i in range(max(1, len(words) - 2))), default=0)
 
 
 def frequent_beginnings(texts: DataFrame) -> list[tuple[str, int, int]]:
@@ -271,9 +274,10 @@ def frequent_beginnings(texts: DataFrame) -> list[tuple[str, int, int]]:
 
 def choose_stems(counted: list[tuple[str, int, int]], toxic: int, clean: int) -> tuple[str, ...]:
     """The shortest telling beginnings, each made as long as it can be without losing support."""
+    share = toxic / max(1, toxic + clean)
     telling = {
         part: n for part, n, m in counted
-        if (n + 0.5) / (toxic + 1) >= LEAST_RATIO * (m + 0.5) / (clean + 1) and m <= 0.05 * n
+        if len(counted) * share**n <= CHANCE and (n + 0.5) / (toxic + 1) >= LEAST_RATIO * (m + 0.5) / (clean + 1) and m <= 0.05 * n
     }
     longer = defaultdict(list)
     for part in telling:
