@@ -9,7 +9,9 @@ logarithm of (characters per link character x tags per link tag), whose base gro
 share of link text and with the page's. A node's density sum is the sum of its children's composite densities. The
 node of the largest sum is the main subtree, and the smallest composite density on the path from it to the
 body is the threshold: what hangs off that path is kept if its density reaches the threshold, or if it is a
-heading. If the main subtree lies in an ``article`` or ``main`` element, that element is the text.
+heading, an ``article`` or a ``main``. If the main subtree lies in such an element, the outermost is the text, and of an
+``article`` its siblings of that kind, too; in a ``main`` with an ``article`` around the subtree, the path ends at that
+``article`` and what hangs off it inside of ``main`` is kept by the same rule.
 
 Blocks are joined by one line feed in page order. Inside a block, white space becomes one space and character
 references are decoded once.
@@ -194,31 +196,28 @@ def kept(nodes: Sequence[Node]) -> list[Node | str]:
     path = [best]
     while path[-1].parent is not None:
         path.append(path[-1].parent)
-    for node in path:
-        if node.tag in CONTAINERS:
-            return [node]
     threshold = min(n.density for n in path)
-    on_path = {id(n) for n in path}
-    out: list[Node | str] = []
-
-    def walk(node: Node) -> None:
-        if node is best:
-            out.append(node)
-            return
+    path.reverse()
+    top = next((k for k, n in enumerate(path) if n.tag in CONTAINERS), 0)
+    if path[top].tag == "article":
+        return [c for c in path[top - 1].children if not isinstance(c, str) and (c is path[top] or c.tag in CONTAINERS)]
+    if path[top].tag == "main" and not any(n.tag == "article" for n in path[top:]):
+        return [path[top]]
+    before: list[Node | str] = []
+    after: list[list[Node | str]] = []
+    node = path[top]
+    for below in path[top + 1 :]:
+        out = before
         for child in node.children:
-            if isinstance(child, str) or child.tag in HEADINGS:
-                out.append(child)
-            elif id(child) in on_path:
-                walk(child)
-            elif child.chars and child.density >= threshold:
+            if child is below:
+                out = []
+                after.append(out)
+            elif isinstance(child, str) or child.tag in HEADINGS or child.tag in CONTAINERS or (child.chars and child.density >= threshold):
                 out.append(child)
-
-    # The path is as deep as the page is nested; walk() only follows the path.
-    depth = len(path)
-    if depth > 500:
-        return [best]
-    walk(nodes[0])
-    return out
+        node = below
+        if node.tag in HEADINGS or node.tag == "article":
+            break
+    return [*before, node, *(c for out in reversed(after) for c in out)]
 
 
 def blocks(roots: Sequence[Node | str]) -> list[str]:

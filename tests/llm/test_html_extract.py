@@ -90,3 +90,20 @@ def test_empty_table(spark):
     assert rows.columns == ["page_id", "text", "text", "n_chars"]
     assert sorted((r[0] or 0, r[2]) for r in rows.collect()) == [(0, "x"), (1, ""), (1, "x")]
     assert extract(pages.limit(0), keep=["page_id"]).count() == 0
+
+
+def test_depth_does_not_change_what_is_kept():
+    body = f"<h2>Heading</h2><div><p>{LOREM}</p><p>{LOREM}</p></div><h2>End</h2>loose"
+    wanted = f"Heading\n{LOREM.strip()}\n{LOREM.strip()}\nEnd\nloose"
+    for depth in (3, 450, 600, 3_000):
+        assert main_text("<div>" * depth + body) == wanted
+    unclosed = "".join(f"<div><h3>Part {k}</h3><p>{LOREM}</p>" for k in range(700))
+    assert main_text(unclosed).count("Part ") == 700
+
+
+def test_what_stands_beside_an_article_is_kept():
+    page = f"<body><main><h1>Title</h1><article><p>{LOREM}</p></article><article><p>Second. {LOREM}</p></article></main></body>"
+    assert main_text(page) == f"Title\n{LOREM.strip()}\nSecond. {LOREM.strip()}"
+    first = f"<p>{LOREM}</p>" * 4
+    page = f"<body><div><article>{first}</article><p>x</p><article><p>Second. {LOREM}</p></article></div></body>"
+    assert main_text(page) == "\n".join([LOREM.strip()] * 4 + [f"Second. {LOREM.strip()}"])
