@@ -51,8 +51,9 @@ CLOSES = {
     "tr": (frozenset(("tr",)), frozenset(("table",))),
     "td": (frozenset(("td", "th")), frozenset(("tr", "table"))),
     "th": (frozenset(("td", "th")), frozenset(("tr", "table"))),
-    "body": (frozenset(("head",)), frozenset()),
 }
+# Start tags that do not close an open head; text that is not white space closes it, too.
+HEAD_HOLDS = frozenset("html base basefont bgsound link meta title style script noscript noframes template".split())
 P_SCOPE = frozenset("html body table td th caption button object".split())
 
 CUT_TAGS = frozenset("head nav footer aside form button select input label dialog menu object embed canvas audio video".split())
@@ -69,12 +70,13 @@ NOT_CUT = frozenset("no not has with without hide open".split())
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/<>]*)(?P<attributes>(?:[^<>\"']|\"[^\"]{0,4000}\"|'[^']{0,4000}')*+)(?:>|\Z)"
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/<>]*)(?P<attributes>(?:[^<>\"']|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)"
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/<>]*)(?P<attributes2>[^<>]*)(?:>|\Z)",
     re.S,
 )
-_NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?:$|[\s=/])|display\s*:\s*none""", re.I)
+# Attributes one by one, so that what looks like one inside a quoted value is none.
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?|"[^"]*"|'[^']*'""")
+_NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 
 
 class Node:
@@ -98,13 +100,18 @@ def parse(page: str) -> Node:
             if stack[k].tag in limits:
                 return
 
+    def add(text: str) -> None:
+        if stack[-1].tag == "head" and text.strip():
+            stack.pop()
+        stack[-1].children.append(text)
+
     while at < length:
         match = _TAG.search(page, at)
         if match is None:
-            stack[-1].children.append(page[at:])
+            add(page[at:])
             break
         if match.start() > at:
-            stack[-1].children.append(page[at : match.start()])
+            add(page[at : match.start()])
         at = match.end()
         tag = match["tag"] or match["tag2"]
         if tag is None:
@@ -117,6 +124,8 @@ def parse(page: str) -> Node:
                 close((tag,), BLOCK)
             continue
         attributes = match["attributes"] or match["attributes2"] or ""
+        if stack[-1].tag == "head" and tag not in HEAD_HOLDS:
+            stack.pop()
         if tag in RAW:
             ending = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, at)
             if not attributes.endswith("/") or tag not in ("svg", "math"):
@@ -137,14 +146,24 @@ def parse(page: str) -> Node:
 
 
 def says_cut(attributes: str, words: frozenset[str]) -> bool:
-    for found in _NAMES.finditer(attributes):
-        for name in (found[1] or found[2] or found[3] or "").lower().split():
+    for found in _ATTRIBUTE.finditer(attributes):
+        if (found[1] or "").lower() not in ("class", "id", "role"):
+            continue
+        for name in (found[2] or found[3] or found[4] or "").lower().split():
             parts = re.split(r"[-_]+", name)
             if (parts[0] in words or parts[-1] in words or name in words) and not NOT_CUT.intersection(parts[:-1]):
                 return True
     return False
 
 
+def is_hidden(attributes: str) -> bool:
+    for found in _ATTRIBUTE.finditer(attributes):
+        name = (found[1] or "").lower()
+        if name == "hidden" or name == "style" and _NO_DISPLAY.search(found[2] or found[3] or found[4] or ""):
+            return True
+    return False
+
+
 def is_cut(node: Node, in_container: bool) -> bool:
     if node.tag in RAW or node.tag in CUT_TAGS:
         return True
@@ -152,7 +171,7 @@ def is_cut(node: Node, in_container: bool) -> bool:
         return False
     if not in_container and (node.tag in OUTER_CUT_TAGS or says_cut(node.attributes, OUTER_CUT_WORDS)):
         return True
-    return bool(node.attributes) and (says_cut(node.attributes, CUT_WORDS) or bool(_HIDDEN.search(node.attributes)))
+    return bool(node.attributes) and (says_cut(node.attributes, CUT_WORDS) or is_hidden(node.attributes))
 
 
 def in_order(root: Node) -> list[Node]:

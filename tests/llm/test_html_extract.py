@@ -107,3 +107,20 @@ def test_what_stands_beside_an_article_is_kept():
     first = f"<p>{LOREM}</p>" * 4
     page = f"<body><div><article>{first}</article><p>x</p><article><p>Second. {LOREM}</p></article></div></body>"
     assert main_text(page) == "\n".join([LOREM.strip()] * 4 + [f"Second. {LOREM.strip()}"])
+
+
+def test_long_attribute_values_are_attributes():
+    for quote, other in ("\"'", "'\""):
+        value = f"<p class={other}ad{other} hidden>no</p> display:none > " * 200
+        assert main_text(f"<div data-x={quote}{value}{quote}>yes</div><p>more") == "yes\nmore"
+    assert main_text("<p title=\"" + "x" * 9_000 + ">c</p>") == "c"
+    assert main_text("<a '" + "<b \"" * 20_000 + "x") is not None
+    assert main_text("<div style='color:red;display: none'>no</div><div HIDDEN=''>no</div><p>yes") == "yes"
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ("<html><head><title>t</title><meta x><p>a<p>b", "a\nb"), ("<head><link><script>no</script>text", "text"),
+    ("<head><style>p{}</style> <div>a</div></head><body>b", "a\nb"), ("<head><svg>no</svg></head>c", "c"), ("<head> </head>d", "d"),
+])
+def test_open_head_ends_where_the_text_begins(page, text):
+    assert main_text(page) == text
