@@ -16,7 +16,8 @@ and otherwise in Python integers. Scores that do not fit a long are an error.
 
 Defined results. Vectors that are null or hold null, NaN or infinite components, and rows with null ids, take no
 part; vectors of unlike lengths are compared within a length only. A query never finds a row with its own id. Ties go to smaller ids, repeated rows
-are found each. Fewer than k candidates: all of them. Empty table or no queries: no rows. Other columns are
+are found each. A repeated query row asks once; different vectors of one query id have ``k`` neighbours and ranks
+each. Fewer than k candidates: all of them. Empty table or no queries: no rows. Other columns are
 ignored.
 """
 
@@ -149,7 +150,7 @@ def top_k(df: DataFrame, is_query, k: int, *, id_col: str = "vec_id", vector_col
     sound = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")) & (F.abs(x * SCALE) < float("inf")))
     vectors = vectors.where(F.col("id").isNotNull() & F.col("vector").isNotNull() & (F.size("vector") > 0)).where(sound)
     vectors = vectors.withColumn("length", F.size("vector"))
-    queries = vectors.where(is_query(F.col("id")))
+    queries = vectors.where(is_query(F.col("id"))).dropDuplicates(["id", "vector"]).withColumn("query", F.xxhash64("vector"))
     sizes = vectors.agg(F.count("*"), F.count(F.when(is_query(F.col("id")), 1))).first()
     shards, blocks = (max(1, -(-n // m)) for n, m in zip(sizes, (SHARD_ROWS, BLOCK_ROWS)))
     # Rows of one id are dealt by their vectors, too, so that a repeated id does not fill a shard.
@@ -159,7 +160,7 @@ def top_k(df: DataFrame, is_query, k: int, *, id_col: str = "vec_id", vector_col
     asked = queries.withColumn("block", F.pmod(dealt, F.lit(blocks)).cast("int")).withColumn("shard", numbers(shards))
 
     def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        columns: dict[str, list] = {"query_id": [], "id": [], "score": []}
+        columns: dict[str, list] = {"query_id": [], "query": [], "id": [], "score": []}
         if len(left) and len(right):
             queries, rows = whole_numbers(left["vector"]), whole_numbers(right["vector"])
             if queries.dtype != rows.dtype:
@@ -167,15 +168,17 @@ def top_k(df: DataFrame, is_query, k: int, *, id_col: str = "vec_id", vector_col
             elif queries.dtype != object and (queries**2).sum(axis=1).max() * (rows**2).sum(axis=1).max() >= EXACT**2:
                 queries, rows = (np.array([[int(v) for v in r] for r in x], dtype=object) for x in (queries, rows))
             ids, others = left["id"].to_numpy(), right["id"].to_numpy()
+            own = left["query"].to_numpy()
             for row, column, value in search(queries, ids, rows, others, k):
                 columns["query_id"].append(ids[row])
+                columns["query"].append(own[row])
                 columns["id"].append(others[column])
                 columns["score"].append(value)
         return pd.DataFrame(columns).astype("int64")
 
     keys = ("shard", "block", "length")
     kind = vectors.schema["id"].dataType.simpleString()
-    near = asked.groupBy(*keys).cogroup(data.groupBy(*keys)).applyInPandas(run, f"query_id {kind}, id {kind}, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+    near = asked.groupBy(*keys).cogroup(data.groupBy(*keys)).applyInPandas(run, f"query_id {kind}, query long, id {kind}, score long")
+    order = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "id")
     ranked = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", F.col("id").alias(id_col), "score")

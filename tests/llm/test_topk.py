@@ -71,3 +71,16 @@ def test_clustered_data(monkeypatch):
         scores = data @ data[row * 60]
         assert ranked == sorted((-int(s), i) for i, s in enumerate(scores.tolist()) if i != row * 60)[:5]
     assert len(found) == 40
+
+
+def test_repeated_query_rows(spark, monkeypatch):
+    monkeypatch.setattr("hourstar.llm.topk.SHARD_ROWS", 10)
+    monkeypatch.setattr("hourstar.llm.topk.BLOCK_ROWS", 2)
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(40)]
+    schema = "vec_id long, embedding array<double>"
+    once = found(top_k(spark.createDataFrame(rows, schema), lambda c: c == 0, 10))
+    assert once == found(top_k(spark.createDataFrame(rows + [rows[0]], schema), lambda c: c == 0, 10)) == plain(rows, lambda i: i == 0, 10)
+    other = (0, rng.normal(size=4).tolist())
+    both = found(top_k(spark.createDataFrame(rows + [other], schema), lambda c: c == 0, 10))
+    assert both == sorted(once + plain([other] + rows[1:], lambda i: i == 0, 10))
