@@ -15,8 +15,8 @@ too little; how full they are follows from the benchmark's size alone.
 
 Defined results. Words: runs of letters, digits and underscores, lower case; shingles of 5 words; fewer words: the whole
 sequence, so an item of fewer than 5 words is only found in a document that has just these words. Null and
-empty texts match nothing. Items with an equal id count as one. Repeated document rows yield repeated
-results; null ids stay null. Empty tables: no rows. Other columns are ignored.
+empty texts match nothing. Items with an equal id, or without one, are searched for each by their own text; those with the
+same shingles, too, count as one. Repeated document rows yield repeated results; null ids stay null. Empty tables: no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -76,28 +76,30 @@ def shingle(words: list[str], at: int) -> str:
 
 
 def item_shingles(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``item, shingle, hash``, distinct."""
+    """``item, part, shingle, hash``, distinct; ``part`` tells the texts of one id apart, by their shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece, texts in pieces(batches, 1):
             rows: list[int] = []
+            parts: list[int] = []
             shingles: list[str] = []
             hashes = [np.empty(0, np.uint64)]
             for row, text in enumerate(texts):
                 words = _WORD.findall(text.lower())
                 found = shingle_hashes(words)
                 rows += [row] * len(found)
+                parts += [xxhash.xxh64_intdigest(np.unique(found).tobytes()) - (1 << 63)] * len(found)
                 shingles += [shingle(words, at) for at in range(len(found))]
                 hashes.append(found)
             yield pa.RecordBatch.from_arrays(
-                [piece.column(0).take(pa.array(rows, pa.int32())), pa.array(shingles, pa.string()),
+                [piece.column(0).take(pa.array(rows, pa.int32())), pa.array(parts, pa.int64()), pa.array(shingles, pa.string()),
                  pa.array(np.concatenate(hashes).view(np.int64))],
-                ["item", "shingle", "hash"],
+                ["item", "part", "shingle", "hash"],
             )
 
     rows = items.select(items[id_col].alias("item"), items[text_col].alias("text"))
     kind = rows.schema["item"].dataType.simpleString()
-    return rows.mapInArrow(run, f"item {kind}, shingle string, hash long").distinct()
+    return rows.mapInArrow(run, f"item {kind}, part long, shingle string, hash long").distinct()
 
 
 def allowed_gaps(size: Column) -> Column:
@@ -107,19 +109,20 @@ def allowed_gaps(size: Column) -> Column:
 
 def sketched(shingles: DataFrame) -> DataFrame:
     """Adds ``size`` (the item's), ``least`` (its partition's smallest size), ``in_sketch``."""
-    sizes = shingles.groupBy("item").agg(F.count("*").alias("size"))
-    sized = shingles.join(sizes, shingles["item"].eqNullSafe(sizes["item"])).drop(sizes["item"])
+    sizes = shingles.groupBy("item", "part").agg(F.count("*").alias("size"))
+    same = shingles["item"].eqNullSafe(sizes["item"]) & (shingles["part"] == sizes["part"])
+    sized = shingles.join(sizes, same).drop(sizes["item"], sizes["part"])
     # Partitions of sizes 2^k to 2^(k+1) - 1.
     least = F.call_function("shiftleft", F.lit(1).cast("long"), F.floor(F.log2("size") + 1e-12).cast("int"))
     own = sized.withColumn("least", least).withColumn("sketch", allowed_gaps(2 * F.col("least") - 1) + 1)
     # Hashes as unsigned numbers, smallest first.
     order = F.col("hash").bitwiseXOR(F.lit(-(1 << 63)))
-    ranked = own.withColumn("order", order).groupBy("item").agg(
+    ranked = own.withColumn("order", order).groupBy("item", "part").agg(
         F.sort_array(F.collect_list(F.struct("order", "shingle", "hash"))).alias("all"), F.first("size").alias("size"),
         F.first("least").alias("least"), F.first("sketch").alias("sketch"),
     )
-    return ranked.select("item", "size", "least", "sketch", F.posexplode("all").alias("at", "s")).select(
-        "item", "size", "least", "s.shingle", "s.hash", (F.col("at") < F.col("sketch")).alias("in_sketch")
+    return ranked.select("item", "part", "size", "least", "sketch", F.posexplode("all").alias("at", "s")).select(
+        "item", "part", "size", "least", "s.shingle", "s.hash", (F.col("at") < F.col("sketch")).alias("in_sketch")
     )
 
 
@@ -172,7 +175,7 @@ def contaminated(
     verified = (
         sets.select("set", "doc_size", F.explode("shingles").alias("shingle")).join(held, "shingle")
         .where(F.col("doc_size") >= F.ceil(F.col("least") * THRESHOLD))
-        .groupBy("set", "item").agg(
+        .groupBy("set", "item", "part").agg(
             F.count("*").alias("shared"), F.first("size").alias("item_shingles"), F.max("in_sketch").alias("candidate"))
         .where(F.col("candidate") & (F.col("item_shingles") - F.col("shared") <= allowed_gaps(F.col("item_shingles"))))
     )

@@ -74,3 +74,13 @@ def test_query_over_whole_tables(spark):
     wanted = plain(read("documents", "doc_id"), read("benchmark", "item_id"))
     assert found(op6_decontamination(spark, SF_DIR)) == wanted
     assert wanted
+
+
+def test_texts_of_one_id_are_searched_for_each(spark):
+    texts = [" ".join(f"{c}{k}" for k in range(20)) for c in "abcdef"]
+    items = [(0, texts[0]), (0, texts[1]), (0, texts[1].upper()), (None, texts[2]), (None, texts[3]), (5, texts[4])]
+    docs = [(k, f"before {text} after") for k, text in enumerate(texts)] + [(9, texts[0] + " " + texts[1])]
+    result = found(contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")))
+    wanted = [(0, 0), (1, 0), (2, None), (3, None), (4, 5), (9, 0), (9, 0)]
+    assert result == sorted(((d, i, 16, 16) for d, i in wanted), key=str)
