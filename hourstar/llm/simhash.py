@@ -185,15 +185,20 @@ def links(fps: DataFrame) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, fingerprint`` (16 lower-case hex digits), ``component_id`` of every row; see the module's text."""
+    """``id, fingerprint`` (16 lower-case hex digits), ``component_id`` of every row; see the module's text.
+
+    Ids of any type with an order will do, also a struct that tells rows of one id apart.
+    """
     kept = stored(fingerprints(df, id_col=id_col, text_col=text_col), "fingerprints")
     groups = kept.groupBy("fp").agg(F.min("id").alias("least"))
     roots = components(links(groups.select("fp")))
-    rooted = groups.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    # Linked fingerprints are few beside all of them; their smallest ids are found among themselves.
-    rooted = rooted.withColumn("root", F.coalesce("root", "fp"))
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(smallest, "root").select("fp", "component_id")
+    rooted = groups.join(roots.withColumnRenamed("node", "fp"), "fp")
+    # Only linked fingerprints are named anew. Sides are stored, so that a component of any size, or a fingerprint
+    # of very many copies, is a skewed side which a join may split.
+    linked = stored(rooted, "linked")
+    smallest = stored(linked.groupBy("root").agg(F.min("least").alias("component_id")), "smallest")
+    names = linked.join(smallest, "root").select("fp", F.col("component_id").alias("linked_id"))
+    named = stored(groups.join(names, "fp", "left").select("fp", F.coalesce("linked_id", "least").alias("component_id")), "named")
     return kept.join(named, "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
