@@ -7,10 +7,10 @@ are kept.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourstar.llm import decontaminate, near_copies, toxicity
+from hourstar.llm import decontaminate, simhash, toxicity
 from hourstar.llm.queries import encoded
 from hourstar.llm.shared import send_package
 from hourstar.session import scratch_path, stored
@@ -29,30 +29,39 @@ def unused(docs: DataFrame, name: str) -> str:
     return name
 
 
+def digest(*columns: Column) -> list[Column]:
+    """128 bits of the values: two 64-bit hashes with different seeds. Null and empty texts differ."""
+    present = [F.coalesce(c.cast("string"), F.lit("")) for c in columns]
+    nulls = [c.isNull() for c in columns]
+    return [F.xxhash64(F.lit(seed), *nulls, *present) for seed in (1, 2)]
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (5-word shingles, Jaccard 0.8) the row with the smallest id, one without an id last.
+    """Of each group of near copies, as the SimHash operator finds them, the row with the smallest id; one without an id
+    last, and of several texts of an id the one with the smallest digest.
 
-    Rows that go are removed by one anti join on id and digest of the text, where Spark may broadcast a small
-    side. Only where rows of one id and text are repeated, they are ranked by a window.
+    A row is named by its id and its text's digest, so the operator's smallest name of a group is the row that
+    stays. Rows that go are removed by one anti join. Rows of one id and text are copies of one row: of them, one is
+    kept by the order of all their columns.
     """
     send_package(spark)
-    texts = stored(near_copies.near_copies(docs).groupBy("doc_id", "digest", "component").agg(F.count("*").alias("rows")), "components")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")).alias("first")
-    stays = texts.groupBy("component").agg(first).select(F.col("first.doc_id").alias("kept_id"), F.col("first.digest").alias("kept"))
-    same = (texts["digest"] == stays["kept"]) & texts["doc_id"].eqNullSafe(stays["kept_id"])
-    goes = stored(texts.join(stays, same, "left_anti").select(F.col("doc_id").alias("gone_id"), F.col("digest").alias("gone")), "gone")
-    key = unused(docs, "_digest")
-    keyed = docs.withColumn(key, near_copies.digest(F.col("text")))
-    left = keyed.join(goes, (keyed[key] == goes["gone"]) & keyed["doc_id"].eqNullSafe(goes["gone_id"]), "left_anti")
-    repeated = texts.where("rows > 1").select(F.col("doc_id").alias("twice_id"), F.col("digest").alias("twice"))
-    if repeated.isEmpty():
-        return left.select(docs.columns)
-    twice = (left[key] == repeated["twice"]) & left["doc_id"].eqNullSafe(repeated["twice_id"])
-    once, several = left.join(repeated, twice, "left_anti"), left.join(repeated, twice, "left_semi")
-    name = unused(keyed, "_rank")
-    rank = F.row_number().over(Window.partitionBy("doc_id", key).orderBy(F.lit(0)))
-    several = several.withColumn(name, rank).where(F.col(name) == 1)
-    return once.select(docs.columns).unionByName(several.select(docs.columns))
+    high, low = digest(F.col("text"))
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", high.alias("high"), low.alias("low"))
+    marked = simhash.near_duplicates(docs.select(row.alias("row"), "text"), id_col="row")
+    names = stored(marked.groupBy("row").agg(F.count("*").alias("rows"), F.any_value("component_id").alias("stays")), "names")
+    name = ["doc_id", "high", "low"]
+    goes, twice = (stored(names.where(c).select("row.*").select(name), n) for c, n in (("row <> stays", "gone"), ("row = stays AND rows > 1", "twice")))
+    key = unused(docs, "_name")
+    keyed = docs.withColumn(key, F.struct("doc_id", high.alias("high"), low.alias("low")))
+
+    def named(other: DataFrame) -> Column:
+        return (F.col(f"{key}.high") == other["high"]) & (F.col(f"{key}.low") == other["low"]) & F.col(f"{key}.doc_id").eqNullSafe(other["doc_id"])
+
+    left = keyed.join(goes, named(goes), "left_anti")
+    once = left.join(twice, named(twice), "left_anti")
+    # Combined before the shuffle, so a row repeated any number of times moves once per task.
+    several = left.join(twice, named(twice), "left_semi").groupBy(key).agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return once.select(docs.columns).unionByName(several.select("row.*"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +69,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     send_package(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     key = unused(docs, "_digest")
-    keyed = docs.withColumn(key, near_copies.digest(F.col("text")))
+    high, low = digest(F.col("text"))
+    keyed = docs.withColumn(key, F.struct(high.alias("high"), low.alias("low")))
     holding = decontaminate.contaminated(keyed, items, id_col=key).select(F.col(key).alias("held")).distinct()
     holding = holding.withColumnRenamed("held", unused(keyed, "_held"))
     return keyed.join(holding, keyed[key] == F.col(holding.columns[0]), "left_anti").select(docs.columns)
