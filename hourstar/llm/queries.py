@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourstar.llm import bpe, decontaminate, html_extract, sharding, simhash, token_count, topk, toxicity, url_filter, warc
+from hourstar.llm import bpe, decontaminate, html_extract, sharding, simhash, spelling, token_count, topk, toxicity, url_filter, warc
 from hourstar.llm.shared import send_package
 from hourstar.session import literal_table, scratch_path
 
@@ -99,6 +99,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_top_k": op1_top_k,
     "op2_bpe": op2_bpe,
@@ -110,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_simhash": op9_simhash,
     "op10_toxicity": op10_toxicity,
+    "op12_spelling": op12_spelling,
 }
 
 ORACLE: dict[str, str] = {
