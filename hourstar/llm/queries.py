@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourstar.llm import bpe, decontaminate, html_extract, sharding, simhash, spelling, token_count, topk, toxicity, url_filter, warc
+from hourstar.llm import bpe, decontaminate, html_extract, lexical, sharding, simhash, spelling, token_count, topk, toxicity, url_filter, warc
 from hourstar.llm.shared import send_package
 from hourstar.session import literal_table, scratch_path
 
@@ -15,6 +15,7 @@ SHARDS = 40
 WORD_FILE, BYTE_FILE = "word_bpe_49k.json", "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
 TOP = 10
+TOP_DOCUMENTS = 20
 
 # The rules that op4 judges by.
 RULES = [
@@ -99,6 +100,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.top_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), TOP_DOCUMENTS)
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_groups(_table(spark, sf_dir, "documents"))
 
@@ -114,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_simhash": op9_simhash,
     "op10_toxicity": op10_toxicity,
+    "op11_lexical_search": op11_lexical_search,
     "op12_spelling": op12_spelling,
 }
 
@@ -152,6 +158,34 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, item_id, shared, item_shingles, shared / item_shingles AS containment
         FROM shared JOIN sizes USING (item_id) WHERE 10 * shared >= 8 * item_shingles
     """,
+    "op11_lexical_search": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS terms
+            FROM documents
+        ), sized AS (
+            SELECT row, doc_id, terms, len(terms) AS n FROM d WHERE len(terms) > 0
+        ), total AS (
+            SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS length FROM sized
+        ), tf AS (
+            SELECT row, doc_id, n, term, count(*) AS tf FROM (SELECT row, doc_id, n, unnest(terms) AS term FROM sized) GROUP BY ALL
+        ), df AS (
+            SELECT term, count(*) AS df FROM tf GROUP BY term
+        ), asked AS (
+            SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')) AS term
+                FROM benchmark) GROUP BY ALL
+        ), scored AS (
+            SELECT item_id, row, doc_id, CAST(sum(
+                times * CAST(floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2 * df + 1))) AS BIGINT)
+                * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // length)))) AS BIGINT) AS score
+            FROM asked JOIN df USING (term) JOIN tf USING (term), total GROUP BY ALL
+        ), ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+            FROM scored WHERE score > 0
+        )
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+    """,
     "op4_url_filter": r"""
         WITH parts AS (
             SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest
