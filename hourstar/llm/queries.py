@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourstar.llm import bpe, decontaminate, html_extract, lexical, sharding, simhash, spelling, token_count, topk, toxicity, url_filter, warc
+from hourstar.llm import bpe, decontaminate, html_extract, lexical, pii, sharding, simhash, spelling, token_count, topk, toxicity, url_filter, warc
 from hourstar.llm.shared import send_package
 from hourstar.session import literal_table, scratch_path
 
@@ -108,6 +108,12 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_groups(_table(spark, sf_dir, "documents"))
 
 
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.fit(docs))
+    return found.select("doc_id", *[f"n_{kind}" for kind in pii.KINDS], F.sha2(pii.as_text("base"), 256).alias("base_sha256"), pii.as_text("spans").alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_top_k": op1_top_k,
     "op2_bpe": op2_bpe,
@@ -121,6 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
     "op11_lexical_search": op11_lexical_search,
     "op12_spelling": op12_spelling,
+    "op13_pii": op13_pii,
 }
 
 ORACLE: dict[str, str] = {
