@@ -223,8 +223,7 @@ ORACLE: dict[str, str] = {
     "extraction": f"""WITH {FLAT}
       SELECT province_name, CAST(c_custkey % 15 + 5 AS DECIMAL(10,4)) AS latitude,
              CAST(c_custkey % 8 + 97 AS DECIMAL(10,4)) AS longitude, dt, pm2_5
-      FROM (SELECT province_name, dt, pm2_5 FROM flat) JOIN customer ON province_name = 'Station ' || c_custkey
-      WHERE c_custkey % 2 = 0 AND dt BETWEEN {FROM_EPOCH} AND {TO_EPOCH}""",
+      FROM (SELECT province_name, dt, pm2_5 FROM flat) JOIN customer ON province_name = 'Station ' || c_custkey""",
     "landing_counts": """SELECT count(*) AS expected, count(u.user_id) AS found, count(*) - count(u.user_id) AS missing
       FROM customer LEFT JOIN (SELECT DISTINCT user_id FROM events) u ON user_id = c_custkey""",
     "drop_negative": "SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal >= 0",
@@ -293,6 +292,16 @@ ORACLE: dict[str, str] = {
     "fk_orphans": """SELECT doc_id, count(*) AS n_rows FROM documents
       WHERE doc_id NOT IN (SELECT doc_id FROM labels) GROUP BY doc_id""",
     "fk_verdicts": FK,
+    "fk_unlike_types": """WITH orphans AS (
+        SELECT 'order_key' AS "column", count(*) AS n FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)
+        UNION ALL SELECT 'supplier_key', count(*) FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier)
+        UNION ALL SELECT 'part_key', count(*) FROM lineitem WHERE l_partkey % 2 = 1 OR l_partkey // 2 NOT IN (SELECT p_partkey FROM part))
+      SELECT 'lineitem' AS "table", 'orphan_count' AS "check", "column", '= 0' AS expected, CAST(n AS VARCHAR) AS actual, n = 0 AS passed
+      FROM orphans""",
+    "interval_join": """SELECT l_orderkey, l_linenumber, CAST(l_extendedprice AS DECIMAL(12,2)) AS price, o_orderkey,
+        CAST(o_totalprice AS DECIMAL(12,2)) AS low, CAST(CAST(o_totalprice AS DECIMAL(12,2)) + 10 AS DECIMAL(12,2)) AS high
+      FROM lineitem JOIN orders ON CAST(l_extendedprice AS DECIMAL(12,2))
+        BETWEEN CAST(o_totalprice AS DECIMAL(12,2)) AND CAST(o_totalprice AS DECIMAL(12,2)) + 10""",
     "dq_report": DQ,
     "dq_verdict": f"""SELECT "table", count(*) AS rules, count(*) FILTER (NOT passed) AS failed, bool_and(passed) AS passed
       FROM ({DQ}) GROUP BY 1""",

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from hourstar import schemas
 from hourstar.functions import aqi
 from hourstar.functions.values import epoch_seconds, mean_of, round_reading, split_list, wall_seconds
-from hourstar.operators import quality, series, star
+from hourstar.operators import intervals, quality, series, star
 from hourstar.operators.grid import Grid, hourly_spine
 from hourstar.operators.keys import dense_key, enrich
 from hourstar.plans import air_quality, reports
@@ -198,19 +198,17 @@ def landing_folder(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def extraction(spark: SparkSession, sf: str) -> DataFrame:
-    """Readings of the listed stations in a week, with coordinates from a list, landed and read back."""
+    """Readings of all listed stations over the whole time, with coordinates from a list, landed and read back."""
     customers = table(spark, sf, "customer")
-    listed = customers.where("c_custkey % 2 = 0").select(station_name("c_custkey").alias("province_name"))
+    listed = customers.select(station_name("c_custkey").alias("province_name"))
     coordinates = customers.select(
         F.col("c_custkey").cast("int").alias("province_id"), station_name("c_custkey").alias("province_name"),
         (F.col("c_custkey") % 15 + 5).cast("decimal(10,4)").alias("latitude"),
         (F.col("c_custkey") % 8 + 97).cast("decimal(10,4)").alias("longitude"),
     )
-    start, end = (
-        spark.range(1).select(epoch_seconds(F.lit(t), ZONE)).first()[0] for t in ("2024-01-08 00:00:00", "2024-01-15 00:00:00")
-    )
     path = scratch_path(spark, "extracted")
     readings = flat_readings(spark, sf).select("province_name", "dt", "pm2_5")
+    start, end = readings.agg(F.min("dt"), F.max("dt")).first()
     air_quality.extract(readings, listed, coordinates, start, end, path)
     return landing.explode_readings(landing.read_landed(spark, path, layout="field")).select(
         "province_name", "latitude", "longitude", F.unix_timestamp("datetime").alias("dt"), "pm2_5"
@@ -392,6 +390,24 @@ def fk_verdicts(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
+def fk_unlike_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys stored as doubles, decimals and text against integer keys; the part numbers are halved, so that some have no parent."""
+    child = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").cast("double").alias("order_key"), F.col("l_suppkey").cast("decimal(14,3)").alias("supplier_key"),
+        (F.col("l_partkey") / 2).cast("decimal(14,1)").alias("part_key"),
+    )
+    keys = {"order_key": ("orders", "o_orderkey"), "supplier_key": ("supplier", "s_suppkey"), "part_key": ("part", "p_partkey")}
+    return quality.foreign_key_verdicts("lineitem", child, {c: (table(spark, sf, t), k) for c, (t, k) in keys.items()})
+
+
+def interval_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Line prices with all orders whose total price lies at most ten below them."""
+    price = F.col("o_totalprice").cast("decimal(12,2)")
+    bands = table(spark, sf, "orders").select("o_orderkey", price.alias("low"), (price + 10).cast("decimal(12,2)").alias("high"))
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_extendedprice").cast("decimal(12,2)").alias("price"))
+    return intervals.interval_join(lines, "price", bands, "low", "high")
+
+
 def region_rollup(spark: SparkSession, sf: str) -> DataFrame:
     """Balances per region; customers are summed per nation before any join."""
     per_nation = table(spark, sf, "customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(
@@ -473,6 +489,8 @@ QUERIES: dict[str, Query] = {
     "fk_orphans": lambda spark, sf: quality.fk_orphans(
         table(spark, sf, "documents"), "doc_id", table(spark, sf, "labels"), "doc_id"),
     "fk_verdicts": fk_verdicts,
+    "fk_unlike_types": fk_unlike_types,
+    "interval_join": interval_join,
     "dq_report": dq_report,
     "dq_verdict": dq_verdict,
     "union_by_name": union_by_name,

@@ -180,20 +180,37 @@ def fk_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFra
     return keys.join(parent.select(F.col(pk).alias(fk)), fk, "left_anti")
 
 
+def _common_type(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> str:
+    """The type in which a key is compared: what Spark widens both to; text if just one of them is text."""
+    types = [df.schema[c].dataType.simpleString() for df, c in ((child, fk), (parent, pk))]
+    if types.count("string") == 1:
+        return "string"
+    nulls = [F.lit(None).cast(t) for t in types]
+    return child.sparkSession.range(0).select(F.coalesce(*nulls).alias("v")).schema["v"].dataType.simpleString()
+
+
 def foreign_key_verdicts(table: str, child: DataFrame, keys: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """Orphan counts of all foreign keys (``fk -> (parent, pk)``) from one pass over the child.
 
-    Its rows are counted per value of each key before the join.
+    Its rows are counted per value of each key before the join. Values are compared as values, in a column of its own
+    per key and in a type common to both sides: an integer equals a double or a decimal of any scale.
     """
     names = list(keys)
-    values, ids = counts_by_column(child, names)
+    types = {c: _common_type(child, c, *keys[c]) for c in names}
+    columns = [f"_v{i}" for i in range(len(names))]
+    own = child.select(*[F.col(c).cast(types[c]).alias(v) for c, v in zip(names, columns)])
+    sets = own.groupingSets([[F.col(v)] for v in columns], *columns).agg(F.count("*").alias("_n"))
+    # A row belongs to the one key whose value it has; rows of null keys have none.
+    values = sets.where(" OR ".join(f"{v} IS NOT NULL" for v in columns))
     parents = reduce(DataFrame.unionByName, [
-        parent.select(F.lit(ids[c]).cast("long").alias("_set"), F.col(pk).cast("string").alias("_value"))
-        for c, (parent, pk) in keys.items()
-    ]).where("_value IS NOT NULL").distinct()
-    orphans = values.join(parents, ["_set", "_value"], "left_anti")
+        parent.select(*[(F.col(pk) if c == d else F.lit(None)).cast(types[d]).alias(v) for d, v in zip(names, columns)])
+        .where(f"{columns[i]} IS NOT NULL")
+        for i, (c, (parent, pk)) in enumerate(keys.items())
+    ]).distinct()
+    same = reduce(lambda a, b: a & b, [values[v].eqNullSafe(parents[v]) for v in columns])
+    orphans = values.join(parents, same, "left_anti")
     counts = orphans.agg(*[
-        F.coalesce(F.sum(F.when(F.col("_set") == ids[c], F.col("_n"))), F.lit(0)).alias(f"_o{i}") for i, c in enumerate(names)
+        F.coalesce(F.sum(F.when(F.col(v).isNotNull(), F.col("_n"))), F.lit(0)).alias(f"_o{i}") for i, v in enumerate(columns)
     ])
     return _verdicts(counts, table, {f"_o{i}": Rule("orphan_count", c) for i, c in enumerate(names)})
 

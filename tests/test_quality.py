@@ -1,6 +1,7 @@
 """Each kind of rule passing and failing, and the gate."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from hourstar.operators import quality
 from hourstar.operators.quality import Rule, SchemaRule
@@ -89,3 +90,12 @@ def test_orphans_and_missing_keys(spark):
     found = child.withColumnRenamed("fk", "pk")
     assert [r.pk for r in quality.missing_keys(parent, found, "pk").collect()] == [3]
     assert tuple(quality.completeness(parent, found, "pk").first()) == (3, 2, 1)
+
+
+def test_foreign_keys_compare_values_of_unlike_types(spark):
+    child = spark.createDataFrame([(1.0, "1", -0.0), (2.0, "x", 5.0), (None, None, None), (2.5, "2", 0.0)], "a double, b string, c double")
+    child = child.withColumn("d", F.col("a").cast("decimal(9,3)"))
+    parent = spark.createDataFrame([(1, 0), (2, 0)], "k int, z int")
+    keys = {"a": (parent, "k"), "b": (parent, "k"), "c": (parent, "z"), "d": (parent, "k")}
+    found = {r.column: r.actual for r in quality.foreign_key_verdicts("t", child, keys).collect()}
+    assert found == {"a": "1", "b": "1", "c": "1", "d": "1"}
