@@ -53,6 +53,7 @@ STEM_LENGTHS = range(3, 13)
 
 INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER, END = "ITPNRO#"
 DIRECTED, NEGATED, REPORTED = "Dnr"
+WAITING = "?"  # an insult that a later target of its clause may make a directed one
 KINDS = INSULT + DIRECTED + NEGATED + REPORTED + THREAT
 # Weights before any label is seen, in the order of KINDS, and the constant.
 PRIOR = (2.5, 3.5, 0.5, 0.5, 2.0, -3.0)
@@ -127,21 +128,30 @@ def reported_speech() -> Transducer:
 
 
 def target() -> Transducer:
-    """Insults wait until a target or the clause's end decides on them; up to three are told apart."""
+    """Insults before a clause's first target are written as waiting; the target, or the clause's end, decides on all of
+    them by writing itself. So no state counts them, however many there are."""
 
-    def step(state: tuple[bool, int], symbol: str) -> tuple[tuple[bool, int], str]:
-        named, waiting = state
+    def step(named: bool, symbol: str) -> tuple[bool, str]:
         if symbol == TARGET:
-            return (True, 0), DIRECTED * waiting
+            return True, "" if named else TARGET
         if symbol == INSULT:
-            if named:
-                return state, DIRECTED
-            return ((False, waiting + 1), "") if waiting < 3 else (state, INSULT)
+            return named, DIRECTED if named else WAITING
         if symbol == END:
-            return (False, 0), INSULT * waiting
-        return state, symbol if symbol in KINDS else ""
+            return False, END
+        return named, symbol if symbol in KINDS else ""
 
-    return Transducer((False, 0), step)
+    return Transducer(False, step)
+
+
+def settled(written: str) -> Counter:
+    """How often each of KINDS occurs in what was written for a clause: waiting insults are directed ones
+    if its target was named."""
+    found = Counter(written)
+    waiting, named = found.pop(WAITING, 0), found.pop(TARGET, 0)
+    found.pop(END, None)
+    if waiting:
+        found[DIRECTED if named else INSULT] += waiting
+    return found
 
 
 @lru_cache(maxsize=1)
@@ -190,16 +200,18 @@ class Reader:
         for at in self.hits(lower):
             if at < done:
                 continue
-            start = max(lower.rfind(c, 0, at) for c in ".!?;:\n") + 1
+            # Not before the end of the clause read last, so that every character is passed over once.
+            start = max(lower.rfind(c, max(done, 0), at) for c in ".!?;:\n") + 1 or max(done, 0)
             ending = _CLAUSE_END.search(lower, at)
             done = ending.start() if ending else len(lower)
-            state = 0
+            state, clause = 0, []
             for match in _TOKEN.finditer(lower, start, done):
                 word = match.group()
                 symbol = self.symbol.get(word) or (INSULT if self.is_insult(word) else OTHER)
                 state, written = table[state][symbol]
-                found.update(written)
-            found.update(table[state][END][1])
+                clause.append(written)
+            clause.append(table[state][END][1])
+            found.update(settled("".join(clause)))
         return found
 
 
@@ -229,7 +241,8 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> Da
     chosen = known.where("toxic = 1").orderBy(*order).limit(TOXIC_SAMPLE).union(
         known.where("toxic <> 1").orderBy(*order).limit(CLEAN_SAMPLE))
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).where("text IS NOT NULL")
-    return rows.join(F.broadcast(chosen), "id").dropDuplicates(["id"]).select("text", (F.col("toxic") == 1).alias("toxic"))
+    # Of several texts of an id the smallest, so that the model does not depend on the order of rows.
+    return rows.join(F.broadcast(chosen), "id").groupBy("id", "toxic").agg(F.min("text").alias("text")).select("text", (F.col("toxic") == 1).alias("toxic"))
 
 
 def beginnings(text: str) -> set[str]:

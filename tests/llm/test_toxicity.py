@@ -3,7 +3,7 @@ import zlib
 import pytest
 
 from hourstar.llm.queries import op10_toxicity
-from hourstar.llm.toxicity import Model, Reader, choose_stems, fit, grammar, is_toxic, score, scores
+from hourstar.llm.toxicity import Model, Reader, choose_stems, fit, grammar, is_toxic, sample, score, scores
 
 SF_DIR = "/root/testdata/sf0.1"
 READER = Reader(["idiot$", "lowe", "scum$"])
@@ -23,6 +23,8 @@ READER = Reader(["idiot$", "lowe", "scum$"])
     ("idiots and slower skills", {}),
     ("", {}),
     ("idiot " * 5, {"I": 5}),
+    ("idiot idiot idiot idiot you", {"D": 4}),
+    ("idiot " * 50 + "you scum. idiot", {"D": 51, "I": 1}),
 ])
 def test_clauses(text, found):
     assert {k: n for k, n in READER.matches(text).items() if n} == found
@@ -72,18 +74,20 @@ def plain_score(model, text):
     return 1 / (1 + 2.718281828459045 ** -max(-30, min(30, z)))
 
 
-def test_query_over_whole_tables(spark):
-    rows = op10_toxicity(spark, SF_DIR).collect()
-    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+@pytest.mark.parametrize(("sf_dir", "caught"), [(SF_DIR, 0.9), ("/root/testdata/check_s", 0.95)])
+def test_query_over_whole_tables(spark, sf_dir, caught):
+    """With the 329 toxic labels to learn from in the smaller tables fewer words are known."""
+    rows = op10_toxicity(spark, sf_dir).collect()
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     assert len(rows) == docs.count()
-    toxic = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF_DIR}/labels.parquet").collect()}
+    toxic = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
     right = {0: [0, 0], 1: [0, 0]}
     for r in rows:
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
         assert 0 <= r.score <= 1 and r.predicted == (r.score >= 0.3)
         if r.held_out and r.doc_id in toxic:
             right[toxic[r.doc_id]][r.predicted] += 1
-    assert right[1][1] >= 0.9 * sum(right[1]) and right[0][0] >= 0.99 * sum(right[0])
+    assert right[1][1] >= caught * sum(right[1]) and right[0][0] >= 0.99 * sum(right[0])
 
 
 def test_scores_against_plain_reading(spark):
@@ -108,6 +112,9 @@ def test_awkward_rows(spark):
     assert found == {(1, 0), (2, 0), (None, 1), (3, 1)}
     assert docs.where(~is_toxic(model)("text")).count() == 3
     labels = spark.createDataFrame([(1, None), (None, 1), (9, 1)], "doc_id long, toxic int")
+    twice = docs.union(spark.createDataFrame([(8, t, "x") for t in ("a word", "b word", "B word")], docs.schema)).repartition(3)
+    eight = spark.createDataFrame([(8, 0)], "doc_id long, toxic int")
+    assert [r.text for r in sample(twice, eight, "doc_id", "text").collect()] == ["B word"]
     assert fit(docs, labels) == Model() == fit(docs, labels.limit(0)) == fit(docs.limit(0), labels)
     assert scores(docs.limit(0), Model()).count() == 0
     assert {r.predicted for r in scores(docs, Model()).collect()} == {0}
