@@ -140,8 +140,9 @@ def build_index(docs: DataFrame, table: np.ndarray, *, id_col: str = "doc_id", t
                     continue
                 if len(known) > KNOWN:
                     known.clear()
-                for term in found.keys() - known.keys():
-                    known[term] = is_wanted(term)
+                for term in found:
+                    if term not in known:
+                        known[term] = is_wanted(term)
                 size = sum(found.values())
                 shard.docs += 1
                 shard.length += size
