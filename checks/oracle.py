@@ -245,6 +245,7 @@ ORACLE: dict[str, str] = {
     "rolling_24": f"WITH {series()} SELECT * FROM rolled",
     "dedup_keep_one": f"WITH {READINGS},{kept('event_id')} SELECT * FROM kept",
     "complete_series": f"WITH {series()} SELECT * FROM rolled",
+    "incremental_series": f"WITH {series()} SELECT * FROM rolled",
     "aqi_band_join": f"""WITH {CONCENTRATIONS}, bands(c_low, c_high, i_low, i_high, label) AS (VALUES {', '.join(
         f"(CAST({b.c_low} AS DOUBLE), CAST({b.c_high} AS DOUBLE), CAST({b.i_low} AS INTEGER), CAST({b.i_high} AS INTEGER), '{b.label}')"
         for b in PM25_BANDS)})

@@ -180,10 +180,21 @@ def complete_series(readings: DataFrame, entities: DataFrame, *, entity: str, ti
         .withColumn("_reading", F.lit(True))
     )
 
+    tasks = grid.partitions(readings.sparkSession, n_entities)
+    hours = rolled_chunks(anchors, kept, entity=entity, fill=types, value=value, grid=grid, halo=halo, rolling=rolling, tasks=tasks)
+    return hours.select(entity, grid.time_of(F.col("_hour"), time_type).alias(time), *fill, rolling)
+
+
+def rolled_chunks(anchors: DataFrame, kept: DataFrame, *, entity: str, fill: Mapping[str, str], value: str, grid: Grid, halo: int,
+                  rolling: str, tasks: int) -> DataFrame:
+    """``entity, _chunk, _hour, _own``, the columns of ``fill`` (name -> type) and the rolling mean, of every hour of the chunks.
+
+    ``anchors``: a row per (entity, chunk) with ``_slot``, the first hour its window needs, ``_reading`` false and ``_mean_..``.
+    ``kept``: the readings, one per hour, in every chunk that needs them. ``_own`` tells them from filled hours.
+    """
+    slot, chunk = F.col("_slot"), F.col("_chunk")
     # A fixed partition count: the hours generated below are not in AQE's size estimate.
-    pieces = anchors.unionByName(kept, allowMissingColumns=True).repartition(
-        grid.partitions(readings.sparkSession, n_entities), entity, "_chunk"
-    )
+    pieces = anchors.unionByName(kept, allowMissingColumns=True).repartition(tasks, entity, "_chunk")
     in_order = Window.partitionBy(entity, "_chunk").orderBy("_slot", "_reading")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     gaps = pieces.withColumns({
@@ -196,12 +207,8 @@ def complete_series(readings: DataFrame, entities: DataFrame, *, entity: str, ti
     )
     own = F.col("_reading") & (F.col("_hour") == slot)
     filled = hours.select(
-        entity, "_chunk", "_hour",
-        *[F.coalesce(F.when(own, F.col(c)), F.col(f"_mean_{c}")).cast(types[c]).alias(c) for c in fill],
+        entity, "_chunk", "_hour", own.alias("_own"),
+        *[F.coalesce(F.when(own, F.col(c)), F.col(f"_mean_{c}")).cast(t).alias(c) for c, t in fill.items()],
     )
     frame = Window.partitionBy(entity, "_chunk").orderBy("_hour").rowsBetween(-halo, Window.currentRow)
-    return (
-        filled.withColumn(rolling, F.avg(value).over(frame).cast(types[value]))
-        .filter(F.col("_hour") >= grid.chunk_start(chunk))
-        .select(entity, grid.time_of(F.col("_hour"), time_type).alias(time), *fill, rolling)
-    )
+    return filled.withColumn(rolling, F.avg(value).over(frame).cast(fill[value])).filter(F.col("_hour") >= grid.chunk_start(chunk))
