@@ -39,6 +39,7 @@ VERSION = b"WARC/1.0"
 MEMBER = b"\x1f\x8b\x08"
 EMPTY_MEMBER = bytes((31, 139, 8, 0, 0, 0, 0, 0, 0, 3, 3, 0, 0, 0, 0, 0, 0, 0, 0, 0))
 SMALL = 1 << 24
+SLICE = 1 << 14  # bytes of an archive that are decompressed at once
 EPOCH = "1970-01-01T00:00:00Z"
 _START = re.compile(rb"WARC/1\.[01]\r\n")
 COLUMNS = "page_id string, url string, record_type string, refers_to string, payload_bytes long, payload_digest string, payload binary"
@@ -128,15 +129,18 @@ def parse_record(data: bytes, at: int = 0) -> tuple[Found, int]:
 
 
 def unpack(data: bytes, at: int) -> tuple[bytes, int]:
-    """The decompressed member at ``at`` and its end."""
-    unpacker = zlib.decompressobj(31)
+    """The decompressed member at ``at`` and its end. Read in slices: what follows the member is not copied."""
+    unpacker, parts = zlib.decompressobj(31), []
     try:
-        out = unpacker.decompress(memoryview(data)[at:])
+        while at < len(data) and not unpacker.eof:
+            part = data[at : at + SLICE]
+            parts.append(unpacker.decompress(part))
+            at += len(part)
     except zlib.error as error:
         raise Damaged("member cannot be decompressed") from error
     if not unpacker.eof:
         raise Damaged("member is cut off")
-    return out, len(data) - len(unpacker.unused_data)
+    return b"".join(parts), at - len(unpacker.unused_data)
 
 
 def starts_record(data: bytes, at: int) -> bool:

@@ -1,5 +1,6 @@
 import gzip
 import random
+import time
 
 from hourstar.llm.queries import op8_warc
 from hourstar.llm.warc import digest, member, parse_record, read_archives, record, salvage, write_archives
@@ -95,3 +96,16 @@ def test_garbage_between_members_is_logged():
 def test_revisit_has_the_full_payloads_digest():
     entry, _ = parse_record(record("2", "u", b"abc", "1"))
     assert (entry.payload, entry.payload_bytes, entry.payload_digest, entry.refers_to) == (b"", 3, digest(b"abc"), "1")
+
+
+def test_time_is_in_proportion_to_the_members():
+    rng = random.Random(8)
+    one = [member(record(str(k), "u", rng.randbytes(20_000), None)) for k in range(1000)]
+    seconds = []
+    for times in (1, 4):
+        data = b"".join(one) * times
+        start = time.perf_counter()
+        found, gaps = salvage(data)
+        seconds.append(time.perf_counter() - start)
+        assert len(found) == 1000 * times and not gaps
+    assert seconds[1] < 10 * seconds[0]
