@@ -84,7 +84,7 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_archives(_table(spark, sf_dir, "pages"), path)
-    records, _ = warc.read_archives(spark, path, payloads=False)
+    records, _ = warc.read_archives(spark, path, payloads=False, strict=True)
     return records.select(
         F.col("page_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         F.col("refers_to").cast("long").alias("refers_to"),

@@ -8,11 +8,14 @@ executor leaves no half archive. The writer ends each row with a line separator;
 that ends every gzip member of less than 16 MB (the top byte of its size). Longer records end with an empty
 member, as gzip allows, whose last byte is zero too.
 
-**Reading.** Archives are read whole, one at a time; ``records_per_file`` bounds them. A member must decompress with its
+An archive ends when its members reach ``archive_bytes`` (a longer record has one to itself) or ``records_per_file``:
+each task numbers its archives as it goes, and the writer gives each number a folder.
+
+**Reading.** Archives are read whole, one at a time, which those bounds allow; records leave one by one. A member must decompress with its
 checksum, begin with the version line, and hold as many bytes as its ``Content-Length`` says, with two line
 ends behind; a response must match its payload digest. After a failed check the reader searches for the next gzip
 header that starts a member which decompresses to a version line, takes up there, and logs the bytes between as quarantined, with
-the reason. An uncompressed archive is read likewise, by its version lines. So damage costs the records it touches, no others.
+the reason; a ``strict`` reader fails instead. An uncompressed archive is read likewise, by its version lines. So damage costs the records it touches, no others.
 
 Defined results. Null or empty payloads: an empty payload, equal to all others of its kind. Null ids: revisits of the
 smallest id with their payload, responses if there is none. Repeated rows of the smallest id are all
@@ -39,6 +42,8 @@ VERSION = b"WARC/1.0"
 MEMBER = b"\x1f\x8b\x08"
 EMPTY_MEMBER = bytes((31, 139, 8, 0, 0, 0, 0, 0, 0, 3, 3, 0, 0, 0, 0, 0, 0, 0, 0, 0))
 SMALL = 1 << 24
+ARCHIVE_BYTES = 64 << 20
+BATCH_BYTES = 4 << 20  # payloads in a batch of records read, unless one is longer
 SLICE = 1 << 14  # bytes of an archive that are decompressed at once
 EPOCH = "1970-01-01T00:00:00Z"
 _START = re.compile(rb"WARC/1\.[01]\r\n")
@@ -151,10 +156,8 @@ def starts_record(data: bytes, at: int) -> bool:
         return False
 
 
-def salvage(data: bytes) -> tuple[list[Found], list[Gap]]:
-    """All records of an archive that pass their checks, and the gaps between them."""
-    found: list[Found] = []
-    gaps: list[Gap] = []
+def scan(data: bytes) -> Iterator[Found | Gap]:
+    """The records of an archive that pass their checks and the gaps between them, in order."""
     packed = starts_record(data, 0) or not _START.match(data) and MEMBER in data
     at = 0
     while at < len(data):
@@ -165,10 +168,10 @@ def salvage(data: bytes) -> tuple[list[Found], list[Gap]]:
                     entry, used = parse_record(out)
                     if used != len(out):
                         raise Damaged("bytes behind the record")
-                    found.append(entry)
+                    yield entry
             else:
                 entry, end = parse_record(data, at)
-                found.append(entry)
+                yield entry
             at = end
         except Damaged as damage:
             following = at + 1
@@ -182,9 +185,14 @@ def salvage(data: bytes) -> tuple[list[Found], list[Gap]]:
                     break
                 following += 1
             following = following if following >= 0 else len(data)
-            gaps.append(Gap(at, following, str(damage)))
+            yield Gap(at, following, str(damage))
             at = following
-    return found, gaps
+
+
+def salvage(data: bytes) -> tuple[list[Found], list[Gap]]:
+    """All records and all gaps of an archive."""
+    entries = list(scan(data))
+    return [e for e in entries if isinstance(e, Found)], [e for e in entries if isinstance(e, Gap)]
 
 
 def with_originals(pages: DataFrame, id_col: str, url_col: str, payload_col: str) -> DataFrame:
@@ -201,44 +209,65 @@ def with_originals(pages: DataFrame, id_col: str, url_col: str, payload_col: str
 
 def write_archives(
     pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
-    records_per_file: int = 5000,
+    records_per_file: int = 5000, archive_bytes: int = ARCHIVE_BYTES,
 ) -> None:
     """Write one record per row into archives below ``path``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, used = 0, 0
         for piece, _ in pieces(batches, 2):
             columns = [c.to_pylist() for c in piece.columns]
+            packed = [member(record(i, url, body or b"", refers)) for i, url, body, refers in zip(*columns)]
+            numbers = []
+            for each in packed:
+                if used and used + len(each) > archive_bytes:
+                    number, used = number + 1, 0
+                used += len(each)
+                numbers.append(number)
             # The zero byte at the end is the writer's line separator.
-            packed = [member(record(i, url, body or b"", refers))[:-1] for i, url, body, refers in zip(*columns)]
-            yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary())], ["value"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(numbers, pa.int32()), pa.array([p[:-1] for p in packed], pa.binary())], ["archive", "value"])
 
     rows = with_originals(pages, id_col, url_col, payload_col)
     rows = rows.select(F.col("id").cast("string"), "url", "payload", F.col("refers_to").cast("string"))
-    members = rows.mapInArrow(run, "value binary").select(F.col("value").cast("string"))
-    members.write.option("lineSep", "\0").option("maxRecordsPerFile", records_per_file).text(path)
+    members = rows.mapInArrow(run, "archive int, value binary").select("archive", F.col("value").cast("string"))
+    members.write.option("lineSep", "\0").option("maxRecordsPerFile", records_per_file).partitionBy("archive").text(path)
 
 
-def read_archives(spark: SparkSession, path: str, *, payloads: bool = True) -> tuple[DataFrame, DataFrame]:
+def read_archives(spark: SparkSession, path: str, *, payloads: bool = True, strict: bool = False) -> tuple[DataFrame, DataFrame]:
     """The records of all archives below ``path`` (see COLUMNS), and their gaps: ``path, start, end, reason``.
 
-    Without ``payloads`` that column is null, and payloads do not leave the reading task.
+    Without ``payloads`` that column is null, and payloads do not leave the reading task. With ``strict`` a gap ends the
+    job that reads the records, so that archives known to be whole need no second look at their gaps.
     """
     files = spark.read.format("binaryFile").load(path).select("path", "content")
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = pa.schema([(n, pa.string()) for n in ("page_id", "url", "record_type", "refers_to")]
                           + [("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary())])
+        held: list[dict] = []
+        size = 0
         for batch in batches:
-            for content in batch.column(1):
-                found = salvage(content.as_buffer().to_pybytes())[0]
-                for start in range(0, len(found), 256):
-                    part = found[start : start + 256] if payloads else [f._replace(payload=None) for f in found[start : start + 256]]
-                    yield pa.RecordBatch.from_pylist([f._asdict() for f in part], kinds)
+            for place, content in zip(batch.column(0), batch.column(1)):
+                for entry in scan(content.as_buffer().to_pybytes()):
+                    if isinstance(entry, Gap):
+                        if strict:
+                            raise Damaged(f"{place.as_py()}: bytes {entry.start} to {entry.end}: {entry.reason}")
+                        continue
+                    if not payloads:
+                        entry = entry._replace(payload=None)
+                    held.append(entry._asdict())
+                    size += len(entry.payload or b"")
+                    if size >= BATCH_BYTES or len(held) == 256:
+                        yield pa.RecordBatch.from_pylist(held, kinds)
+                        held, size = [], 0
+        if held:
+            yield pa.RecordBatch.from_pylist(held, kinds)
 
     def gaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for place, content in zip(batch.column(0), batch.column(1)):
-                lost = salvage(content.as_buffer().to_pybytes())[1]
+                lost = [g for g in scan(content.as_buffer().to_pybytes()) if isinstance(g, Gap)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([place.as_py()] * len(lost), pa.string()), pa.array([g.start for g in lost], pa.int64()),
                      pa.array([g.end for g in lost], pa.int64()), pa.array([g.reason for g in lost], pa.string())],

@@ -2,6 +2,8 @@ import gzip
 import random
 import time
 
+import pytest
+
 from hourstar.llm.queries import op8_warc
 from hourstar.llm.warc import digest, member, parse_record, read_archives, record, salvage, write_archives
 
@@ -45,11 +47,33 @@ def test_awkward_rows_make_the_round_trip(spark, tmp_path):
     assert sorted(rows, key=str) == plain([(r[0], r[2]) for r in ROWS])
     bodies = {r.page_id: bytes(r.payload) for r in found if r.record_type == "response"}
     assert bodies["10"].decode() == ROWS[-1][2] and bodies["9"].decode() == ROWS[-2][2]
-    for file in (tmp_path / "w").glob("part-*"):
+    files = list((tmp_path / "w").rglob("part-*"))
+    assert len(files) > 3
+    for file in files:
         with gzip.open(file) as opened:  # an ordinary gzip reader takes it, too
             opened.read()
 
 
+def test_archives_are_bounded_by_bytes(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(k, "u", "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=size))) for k, size in enumerate([4_000] * 60 + [90_000] + [4_000] * 60)]
+    write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2), str(tmp_path / "w"), archive_bytes=20_000)
+    sizes = sorted(f.stat().st_size for f in (tmp_path / "w").rglob("part-*"))
+    assert len(sizes) > 10 and sizes[-2] <= 20_000 < sizes[-1]
+    records, gaps = read_archives(spark, str(tmp_path / "w"), strict=True)
+    assert sorted((int(r.page_id), r.payload.decode()) for r in records.collect()) == [(k, text) for k, _, text in rows]
+    assert gaps.count() == 0
+
+
+def test_a_strict_reader_fails_on_a_gap(spark, tmp_path):
+    parts = archive()
+    (tmp_path / "a.warc.gz").write_bytes(parts[0] + b"\x1f\x8b\x08garbage" + parts[1])
+    assert read_archives(spark, str(tmp_path))[0].count() == 2
+    assert [(r.start, r.end) for r in read_archives(spark, str(tmp_path))[1].collect()] == [(len(parts[0]), len(parts[0]) + 10)]
+    with pytest.raises(Exception, match="a.warc.gz: bytes"):
+        read_archives(spark, str(tmp_path), strict=True)[0].count()
+
+
 def test_empty_table(spark, tmp_path):
     write_archives(spark.createDataFrame([], "page_id long, url string, html string"), str(tmp_path / "w"))
     assert read_archives(spark, str(tmp_path / "w"))[0].count() == 0
