@@ -304,6 +304,7 @@ ORACLE: dict[str, str] = {
       FROM lineitem JOIN orders ON CAST(l_extendedprice AS DECIMAL(12,2))
         BETWEEN CAST(o_totalprice AS DECIMAL(12,2)) AND CAST(o_totalprice AS DECIMAL(12,2)) + 10""",
     "dq_report": DQ,
+    "dq_observed": DQ,
     "dq_verdict": f"""SELECT "table", count(*) AS rules, count(*) FILTER (NOT passed) AS failed, bool_and(passed) AS passed
       FROM ({DQ}) GROUP BY 1""",
     "union_by_name": """SELECT c_name AS name, c_acctbal AS balance FROM customer

@@ -378,6 +378,16 @@ def dq_report(spark: SparkSession, sf: str) -> DataFrame:
     return quality.scan({name: table(spark, sf, name) for name in DQ_RULES}, DQ_RULES)
 
 
+def dq_observed(spark: SparkSession, sf: str) -> DataFrame:
+    """The same rules, with the simple metrics taken while copies of the tables are written."""
+    copies, measured = {}, {}
+    for name, rules in DQ_RULES.items():
+        measured[name], path = quality.Measured(rules), scratch_path(spark, f"copy-{name}")
+        tables.write_table(table(spark, sf, name), path, observe=measured[name].observe)
+        copies[name] = spark.read.parquet(path)
+    return quality.scan(copies, DQ_RULES, measured)
+
+
 def dq_verdict(spark: SparkSession, sf: str) -> DataFrame:
     """Per table: how many rules there are, how many failed, and whether the table passes."""
     return dq_report(spark, sf).groupBy("table").agg(
@@ -509,6 +519,7 @@ QUERIES: dict[str, Query] = {
     "fk_unlike_types": fk_unlike_types,
     "interval_join": interval_join,
     "dq_report": dq_report,
+    "dq_observed": dq_observed,
     "dq_verdict": dq_verdict,
     "union_by_name": union_by_name,
     "csv_reference_scan": csv_reference_scan,

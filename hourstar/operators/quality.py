@@ -1,18 +1,20 @@
 """Declarative data-quality rules, evaluated into a table of verdicts.
 
 A rule is data: a metric of a table or column, a comparison and a bound. All simple metrics of a
-table come from one aggregate pass, all its duplicate counts from a second.
+table come from one aggregate pass, or from the job that writes the table (``Measured``), all its duplicate
+counts from a second.
 """
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from decimal import Decimal
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from hourstar import schemas
@@ -24,6 +26,9 @@ RESULTS = {
 }
 
 
+COMPARISONS = {"=": operator.eq, ">=": operator.ge, "<=": operator.le}
+
+
 @dataclass(frozen=True)
 class Rule:
     """``metric`` of ``column`` compared with ``bound``; ``valid`` lists the values of an invalid count."""
@@ -97,11 +102,15 @@ def _literal(value: Any) -> str:
     return f"'{text}'"
 
 
+def _check_comparison(rule: Rule) -> None:
+    if rule.compare not in COMPARISONS:
+        raise ValueError(f"unknown comparison {rule.compare!r}")
+
+
 def _verdicts(metrics: DataFrame, table: str, rules: Mapping[str, Rule]) -> DataFrame:
     """Verdict rows from one row of metrics; ``rules`` maps its columns to rules."""
     def verdict(metric: str, rule: Rule) -> str:
-        if rule.compare not in ("=", ">=", "<="):
-            raise ValueError(f"unknown comparison {rule.compare!r}")
+        _check_comparison(rule)
         # A metric over no rows is null and fails.
         parts = {
             "table": _literal(table), "check": _literal(rule.metric), "column": _literal(rule.column),
@@ -131,17 +140,55 @@ def _same_type(found: str, wanted: str) -> bool:
     return found == wanted or (wanted == "decimal" and found.startswith("decimal("))
 
 
-def evaluate(table: str, df: DataFrame, rules: Sequence[Rule | SchemaRule]) -> DataFrame:
-    """One verdict row per rule (two per schema rule)."""
+class Measured:
+    """The simple metrics of one table, taken by the job that writes it, so that no scan is needed for them.
+
+    ``observe`` must be the last step before the write, behind any exchange: the tasks of the writing stage count
+    once each, however often they are tried, while those of an earlier stage that is run again after a lost
+    executor would count twice. Ask for ``rows`` only after the write; before, they would be waited for.
+    """
+
+    def __init__(self, rules: Sequence[Rule | SchemaRule]):
+        self.rules = [r for r in rules if isinstance(r, Rule) and r.metric != "duplicate_count"]
+        self.observation: Observation | None = None
+        self.taken: list[Rule] = []
+
+    def observe(self, df: DataFrame) -> DataFrame:
+        self.taken = [r for r in self.rules if r.column is None or r.column in df.columns]
+        if not self.taken:
+            return df
+        metrics = []
+        for i, rule in enumerate(self.taken):
+            _check_comparison(rule)
+            metric = _simple_metric(rule)
+            passed = COMPARISONS[rule.compare](metric, F.expr(_literal(rule.bound)))
+            metrics += [metric.cast("string").alias(f"actual_{i}"), F.coalesce(passed, F.lit(False)).alias(f"passed_{i}")]
+        self.observation = Observation()
+        return df.observe(self.observation, *metrics)
+
+    def rows(self, table: str) -> dict[Rule, tuple]:
+        """The verdict of each rule that was measured; none if Spark wrote the table without running the plan."""
+        found = self.observation.get if self.observation else {}
+        return {
+            rule: (table, rule.metric, rule.column, rule.expected, found[f"actual_{i}"], found[f"passed_{i}"])
+            for i, rule in enumerate(self.taken) if f"passed_{i}" in found
+        }
+
+
+def evaluate(table: str, df: DataFrame, rules: Sequence[Rule | SchemaRule], measured: Measured | None = None) -> DataFrame:
+    """One verdict row per rule (two per schema rule). What was ``measured`` at the write is not computed again."""
+    known = measured.rows(table) if measured else {}
     static = [row for r in rules if isinstance(r, SchemaRule) for row in _schema_rows(table, df, r)]
     present = [r for r in rules if isinstance(r, Rule) and (r.column is None or r.column in df.columns)]
     for r in rules:
         if isinstance(r, Rule) and r not in present:
             static.append((table, r.metric, r.column, r.expected, "no such column", False))
+        elif r in known:
+            static.append(known[r])
     parts = []
     if static:
         parts.append(literal_table(df.sparkSession, static, RESULTS))
-    simple = [r for r in present if r.metric != "duplicate_count"]
+    simple = [r for r in present if r.metric != "duplicate_count" and r not in known]
     if simple:
         named = {f"_m{i}": r for i, r in enumerate(simple)}
         parts.append(_verdicts(df.agg(*[_simple_metric(r).alias(n) for n, r in named.items()]), table, named))
@@ -153,9 +200,10 @@ def evaluate(table: str, df: DataFrame, rules: Sequence[Rule | SchemaRule]) -> D
     return reduce(DataFrame.unionByName, parts)
 
 
-def scan(tables: Mapping[str, DataFrame], rules: Mapping[str, Sequence[Rule | SchemaRule]]) -> DataFrame:
+def scan(tables: Mapping[str, DataFrame], rules: Mapping[str, Sequence[Rule | SchemaRule]],
+         measured: Mapping[str, Measured] | None = None) -> DataFrame:
     """Verdicts for several tables."""
-    return reduce(DataFrame.unionByName, [evaluate(t, tables[t], rs) for t, rs in rules.items()])
+    return reduce(DataFrame.unionByName, [evaluate(t, tables[t], rs, (measured or {}).get(t)) for t, rs in rules.items()])
 
 
 class QualityError(RuntimeError):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from hourstar import schemas
 from hourstar.functions.aqi import with_aqi
 from hourstar.operators.grid import Grid
-from hourstar.operators.quality import gate, scan, star_foreign_keys, star_rules
+from hourstar.operators.quality import Measured, gate, scan, star_foreign_keys, star_rules
 from hourstar.operators.series import clean_readings, complete_series
 from hourstar.operators.star import dim_date, dim_entity, dim_time, fact
 from hourstar.operators.keys import enrich
@@ -93,8 +94,9 @@ def numbered_fact(aqi: DataFrame, provinces: DataFrame, start: str, end: str, re
     return rows.select(*columns).repartitionByRange("record_id").sortWithinPartitions("record_id")
 
 
-def build(spark: SparkSession, provinces: DataFrame, job: Job, n_provinces: int | None = None) -> str:
-    """Build the star in a new version folder and return its path.
+def build(spark: SparkSession, provinces: DataFrame, job: Job, n_provinces: int | None = None,
+          measured: Mapping[str, Measured] | None = None) -> str:
+    """Build the star in a new version folder and return its path. ``measured`` takes its metrics of each table as it is written.
 
     The JSON is parsed once into a columnar table, and the hourly index is stored before the four
     tables read it. Everything a later step needs lies in the output folder, so a lost executor
@@ -114,7 +116,8 @@ def build(spark: SparkSession, provinces: DataFrame, job: Job, n_provinces: int
     aqi = spark.read.parquet(f"{version}/hourly_aqi")
 
     def write(name: str, table: DataFrame) -> None:
-        write_table(declared(table, job.star[name]), f"{version}/{name}", compact=name.startswith("dim_"))
+        observe = measured[name].observe if measured else None
+        write_table(declared(table, job.star[name]), f"{version}/{name}", compact=name.startswith("dim_"), observe=observe)
 
     write("dim_province", dim_entity(aqi, ENTITY, KEY, list(COORDINATES), scratch=version))
     write("dim_date", dim_date(aqi, TIME))
@@ -128,10 +131,11 @@ def open_star(spark: SparkSession, version: str, job: Job) -> dict[str, DataFram
     return {t: read_table(spark, f"{version}/{t}", columns) for t, columns in job.star.items()}
 
 
-def audit(spark: SparkSession, version: str, job: Job, n_provinces: int) -> DataFrame:
+def audit(spark: SparkSession, version: str, job: Job, n_provinces: int, measured: Mapping[str, Measured] | None = None) -> DataFrame:
     """Store and return the verdicts of all rules and foreign keys."""
     tables = open_star(spark, version, job)
-    verdicts = scan(tables, star_rules(n_provinces, job.record_id_type)).unionByName(star_foreign_keys(tables))
+    rules = star_rules(n_provinces, job.record_id_type)
+    verdicts = scan(tables, rules, measured).unionByName(star_foreign_keys(tables))
     write_table(verdicts, f"{version}/audit", compact=True)
     return spark.read.parquet(f"{version}/audit")
 
@@ -163,7 +167,8 @@ def run(spark: SparkSession, provinces: DataFrame, job: Job) -> DataFrame:
         # The listing alone shows what is missing, before anything is parsed.
         require_all(provinces, landed_files(spark, job.raw, ENTITY, job.layout), ENTITY, job.out)
     n_provinces = provinces.select(ENTITY).distinct().count()
-    version = build(spark, provinces, job, n_provinces)
-    verdicts = gate(audit(spark, version, job, n_provinces))
+    measured = {table: Measured(rules) for table, rules in star_rules(n_provinces, job.record_id_type).items()}
+    version = build(spark, provinces, job, n_provinces, measured)
+    verdicts = gate(audit(spark, version, job, n_provinces, measured))
     publish(spark, version, job)
     return verdicts

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,13 +13,15 @@ from hourstar import schemas
 MAX_RECORDS_PER_FILE = 3_000_000
 
 
-def write_table(df: DataFrame, path: str, compact: bool = False, max_records: int = MAX_RECORDS_PER_FILE) -> None:
+def write_table(df: DataFrame, path: str, compact: bool = False, max_records: int = MAX_RECORDS_PER_FILE,
+                observe: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """Overwrite a Parquet folder.
 
     ``compact`` lets AQE size the partitions: a small table becomes one file, and one that has grown
-    becomes several, where a fixed single partition would not scale.
+    becomes several, where a fixed single partition would not scale. ``observe`` is put last, behind that exchange.
     """
     out = df.hint("rebalance") if compact else df
+    out = observe(out) if observe else out
     out.write.mode("overwrite").option("maxRecordsPerFile", max_records).parquet(path)
 
 

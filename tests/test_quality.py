@@ -99,3 +99,46 @@ def test_foreign_keys_compare_values_of_unlike_types(spark):
     keys = {"a": (parent, "k"), "b": (parent, "k"), "c": (parent, "z"), "d": (parent, "k")}
     found = {r.column: r.actual for r in quality.foreign_key_verdicts("t", child, keys).collect()}
     assert found == {"a": "1", "b": "1", "c": "1", "d": "1"}
+
+
+def test_metrics_taken_at_the_write_equal_those_of_a_scan(spark, dates, tmp_path):
+    from hourstar.sources.tables import write_table
+
+    rules = [
+        SchemaRule((("quarter", "int"),)), Rule("row_count", None, "=", 5), Rule("missing_count", "date_key"),
+        Rule("duplicate_count", "date_key"), Rule("min", "quarter", ">=", 1), Rule("max", "quarter", "<=", 4),
+        Rule("min", "date_key", ">=", "20240101"), Rule("max_length", "date_key", "=", 8),
+        Rule("invalid_count", "day_of_week", valid=quality.DAYS_OF_WEEK), Rule("max", "nowhere"),
+    ]
+    for k, (df, compact) in enumerate([(dates, False), (dates, True), (dates.repartition(7), False), (dates.filter("false"), True)]):
+        measured, path = quality.Measured(rules), str(tmp_path / str(k))
+        write_table(df, path, compact=compact, observe=measured.observe)
+        back = spark.read.schema(dates.schema).parquet(path)
+        found = quality.evaluate("d", back, rules, measured)
+        wanted = quality.evaluate("d", back, rules)
+        assert sorted(map(str, found.collect())) == sorted(map(str, wanted.collect()))
+
+
+def test_measured_rules_need_no_scan(spark, dates, tmp_path):
+    from hourstar.sources.tables import write_table
+
+    rules = [Rule("row_count", None, "=", 5), Rule("min", "quarter", ">=", 1), Rule("missing_count", "day_of_week")]
+    measured = quality.Measured(rules)
+    write_table(dates, str(tmp_path / "t"), observe=measured.observe)
+    back = spark.read.parquet(str(tmp_path / "t"))
+
+    def scans(verdicts):
+        return verdicts._jdf.queryExecution().executedPlan().toString().count("FileScan")
+
+    assert scans(quality.evaluate("t", back, rules)) == 1
+    assert scans(quality.evaluate("t", back, rules, measured)) == 0
+    both = [*rules, Rule("duplicate_count", "date_key")]
+    assert scans(quality.evaluate("t", back, both)) == 2 and scans(quality.evaluate("t", back, both, measured)) == 1
+
+
+def test_measured_rules_are_checked(dates):
+    with pytest.raises(ValueError):
+        quality.Measured([Rule("median", "quarter")]).observe(dates)
+    with pytest.raises(ValueError):
+        quality.Measured([Rule("max", "quarter", "<>", 1)]).observe(dates)
+    assert quality.Measured([Rule("max", "nowhere")]).rows("d") == {}
