@@ -220,6 +220,10 @@ ORACLE: dict[str, str] = {
              CASE WHEN count(f.dt) = 0 THEN 'missing' ELSE 'ok' END AS status
       FROM customer LEFT JOIN flat f ON f.province_name = 'Station ' || c_custkey GROUP BY 1""",
     "landing_folder": f"WITH {FLAT} SELECT * FROM flat",
+    "landing_file": f"WITH {FLAT} SELECT * FROM flat",
+    "landing_days": f"""WITH {FLAT} SELECT province_name, dt, pm2_5 FROM flat
+      WHERE dt BETWEEN {FROM_EPOCH} AND {TO_EPOCH}""",
+    "landing_pretty": f"WITH {FLAT} SELECT * FROM flat",
     "extraction": f"""WITH {FLAT}
       SELECT province_name, CAST(c_custkey % 15 + 5 AS DECIMAL(10,4)) AS latitude,
              CAST(c_custkey % 8 + 97 AS DECIMAL(10,4)) AS longitude, dt, pm2_5

@@ -213,6 +213,38 @@ def landing_folder(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def landing_file(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from one file per station, named after it."""
+    docs = landing.read_landed(spark, landed_path(spark, sf, "file"))
+    return landing.explode_readings(docs).select(
+        "province_name", "latitude", "longitude", F.unix_timestamp("datetime").alias("dt"), "pm2_5"
+    )
+
+
+def landing_days(spark: SparkSession, sf: str) -> DataFrame:
+    """One week of readings from documents landed by day; folders of other days are not opened."""
+    path = scratch_path(spark, "landed")
+    landing.land(landing.reading_documents(flat_readings(spark, sf), by_day=True), path, layout="day")
+    return landing.readings_between(spark, path, 1704646800, 1705251600).select(
+        "province_name", F.unix_timestamp("datetime").alias("dt"), "pm2_5"
+    )
+
+
+def landing_pretty(spark: SparkSession, sf: str) -> DataFrame:
+    """Half of the stations' files are pretty-printed; a second pass over these alone recovers their documents."""
+    path = scratch_path(spark, "landed")
+    docs = stored(landing.reading_documents(flat_readings(spark, sf)), "documents")
+    even = F.regexp_extract("province_name", "[0-9]+$", 0).cast("long") % 2 == 0
+    for rows, pretty in ((docs.where(even), True), (docs.where(~even), False)):
+        rows.write.partitionBy("province_name").option("pretty", pretty).mode("append").json(path)
+    parsed = landing.explode_readings(
+        landing.read_landed(spark, path, layout="folder", files=True), keep_empty=True)
+    whole = landing.with_broken_files(spark, stored(parsed, "parsed"), path, scratch_path(spark, "recovered"), layout="folder")
+    return whole.where("datetime IS NOT NULL").select(
+        "province_name", "latitude", "longitude", F.unix_timestamp("datetime").alias("dt"), "pm2_5"
+    )
+
+
 def extraction(spark: SparkSession, sf: str) -> DataFrame:
     """Readings of all listed stations over the whole time, with coordinates from a list, landed and read back."""
     customers = table(spark, sf, "customer")
@@ -461,6 +493,9 @@ QUERIES: dict[str, Query] = {
     "nest_explode_roundtrip": nest_explode_roundtrip,
     "landing_roundtrip": landing_roundtrip,
     "landing_folder": landing_folder,
+    "landing_file": landing_file,
+    "landing_days": landing_days,
+    "landing_pretty": landing_pretty,
     "extraction": extraction,
     "landing_report": landing_report,
     "landing_counts": landing_counts,

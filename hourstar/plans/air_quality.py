@@ -17,8 +17,10 @@ from hourstar.operators.quality import Measured, gate, scan, star_foreign_keys,
 from hourstar.operators.series import clean_readings, complete_series
 from hourstar.operators.star import dim_date, dim_entity, dim_time, fact
 from hourstar.operators.keys import enrich
+from hourstar.session import stored
 from hourstar.sources.landing import (
     between_epochs, explode_readings, land, landed_files, landing_status, read_landed, reading_documents, require_all,
+    with_broken_files,
 )
 from hourstar.sources.tables import declared, point_view, read_table, write_table
 
@@ -76,7 +78,8 @@ def extract(readings: DataFrame, provinces: DataFrame, coordinates: DataFrame, s
     """
     listed = between_epochs(readings, "dt", start, end).join(provinces.select(ENTITY).distinct(), ENTITY, "left_semi")
     placed = enrich(listed, coordinates, ENTITY, KEY, list(COORDINATES))
-    land(reading_documents(placed), path, layout=layout)
+    # Documents are cut by place in the input, which is the same in every try only if it is stored.
+    land(reading_documents(stored(placed, "placed"), by_day=layout == "day"), path, layout=layout)
 
 
 def numbered_fact(aqi: DataFrame, provinces: DataFrame, start: str, end: str, record_id_type: str) -> DataFrame:
@@ -98,14 +101,15 @@ def build(spark: SparkSession, provinces: DataFrame, job: Job, n_provinces: int
           measured: Mapping[str, Measured] | None = None) -> str:
     """Build the star in a new version folder and return its path. ``measured`` takes its metrics of each table as it is written.
 
-    The JSON is parsed once into a columnar table, and the hourly index is stored before the four
+    The JSON is parsed once into a columnar table, broken files a second time as a whole, and the hourly index is stored before the four
     tables read it. Everything a later step needs lies in the output folder, so a lost executor
     costs its own tasks only.
     """
     version = f"{job.out.rstrip('/')}/versions/{uuid.uuid4().hex}"
-    docs = read_landed(spark, job.raw, ENTITY, job.layout)
+    docs = read_landed(spark, job.raw, ENTITY, job.layout, files=True)
     write_table(explode_readings(docs, ENTITY, keep_empty=True), f"{version}/readings")
-    readings = spark.read.schema(schemas.READINGS).parquet(f"{version}/readings")
+    readings = spark.read.schema(f"{schemas.READINGS}, file STRING").parquet(f"{version}/readings")
+    readings = with_broken_files(spark, readings, job.raw, f"{version}/recovered", ENTITY, job.layout)
     write_table(landing_status(provinces, readings, ENTITY), f"{version}/landing", compact=True)
     landed = spark.read.parquet(f"{version}/landing").filter("status <> 'missing'")
     require_all(provinces, landed, ENTITY, version)
@@ -163,7 +167,7 @@ def published(spark: SparkSession, job: Job) -> dict[str, DataFrame]:
 
 def run(spark: SparkSession, provinces: DataFrame, job: Job) -> DataFrame:
     """Check the landing, build, audit, and publish only if every rule passes. Returns the verdicts."""
-    if job.layout != "field":
+    if job.layout in ("file", "folder"):
         # The listing alone shows what is missing, before anything is parsed.
         require_all(provinces, landed_files(spark, job.raw, ENTITY, job.layout), ENTITY, job.out)
     n_provinces = provinces.select(ENTITY).distinct().count()

@@ -11,7 +11,8 @@ from hourstar.plans.air_quality import (
     Job, audit, build, hourly_series, open_star, published, run,
 )
 from hourstar.sources.landing import (
-    LandingError, explode_readings, land, landed_files, landing_status, read_landed, reading_documents, require_all,
+    LandingError, broken_files, explode_readings, land, landed_files, landing_status, read_landed, read_whole,
+    reading_documents, readings_between, require_all, with_broken_files,
 )
 from hourstar.sources.lists import entities_from_text
 from hourstar.operators.series import clean_readings
@@ -121,11 +122,11 @@ def test_province_without_readings_is_reported_not_fatal(bangkok, raw, tmp_path)
     version = build(bangkok, names, j)
     status = {r.province_name: r.status for r in bangkok.read.parquet(f"{version}/landing").collect()}
     assert status == {"Bangkok": "ok", "Chiang Mai": "ok", "A+B 100%": "ok", "Empty": "no readings",
-                      "Pretty": "corrupt"}
-    assert open_star(bangkok, version, j)["dim_province"].count() == 3
+                      "Pretty": "ok"}
+    assert open_star(bangkok, version, j)["dim_province"].count() == 4
     failed = {(r.table, r.check) for r in audit(bangkok, version, j, 5).filter("not passed").collect()}
     assert ("dim_province", "row_count") in failed
-    with pytest.raises(QualityError, match="row_count = 5, found 3"):
+    with pytest.raises(QualityError, match="row_count = 5, found 4"):
         run(bangkok, names, j)
     assert not (tmp_path / "out" / "releases").exists()
 
@@ -145,11 +146,11 @@ def test_missing_province_stops_the_job(bangkok, raw, tmp_path):
         require_all(names, landed_files(bangkok, str(empty)))
 
 
-@pytest.mark.parametrize("layout", ["field", "folder"])
+@pytest.mark.parametrize("layout", ["field", "folder", "file", "day"])
 def test_landed_documents_read_back(bangkok, raw, tmp_path, layout):
     flat = explode_readings(read_landed(bangkok, str(raw))).withColumn("dt", F.unix_timestamp("datetime"))
     path = str(tmp_path / "landed")
-    land(reading_documents(flat.drop("datetime")), path, layout=layout)
+    land(reading_documents(flat.drop("datetime"), by_day=layout == "day"), path, layout=layout)
     back = explode_readings(read_landed(bangkok, path, layout=layout))
     columns = ["province_name", "datetime", "latitude", "longitude", "pm2_5"]
     assert back.select(columns).exceptAll(flat.select(columns)).isEmpty()
@@ -157,14 +158,14 @@ def test_landed_documents_read_back(bangkok, raw, tmp_path, layout):
     status = landing_status(entities_from_text(bangkok, NAMES + ",Trat"), back).collect()
     assert {r.province_name: r.status for r in status}["Trat"] == "missing"
     assert sum(r.status == "ok" for r in status) == 3
-    if layout == "folder":
+    if layout in ("folder", "file"):
         assert require_all(entities_from_text(bangkok, NAMES), landed_files(bangkok, path, layout=layout)) == 3
 
 
 def test_layouts_are_checked(bangkok, raw, tmp_path):
     docs = read_landed(bangkok, str(raw))
-    with pytest.raises(ValueError, match="file"):
-        land(docs, str(tmp_path / "x"), layout="file")
+    with pytest.raises(ValueError, match="nothing"):
+        land(docs, str(tmp_path / "x"), layout="nothing")
     with pytest.raises(ValueError, match="nothing"):
         read_landed(bangkok, str(raw), layout="nothing")
 
@@ -178,6 +179,86 @@ def test_a_truncated_line_is_counted(bangkok, raw):
     assert {rows[n].status for n in NAMES.split(",")} == {"ok"}
 
 
+def test_file_names_are_the_entities(bangkok, raw, tmp_path):
+    docs = read_landed(bangkok, str(raw))
+    path = tmp_path / "landed"
+    for _ in range(2):  # the second time over the first
+        land(docs.drop("corrupt"), str(path), layout="file")
+        assert sorted(f.name for f in path.glob("[!.]*")) == ["A+B 100%.json", "Bangkok.json", "Chiang Mai.json"]
+    for name in ("a/b", ".hidden", "a:b", None, ""):
+        with pytest.raises(ValueError, match="no file can be named"):
+            land(docs.drop("corrupt").withColumn("province_name", F.lit(name).cast("string")), str(path), layout="file")
+    assert len(list(path.glob("*.json"))) == 3  # what was there stays
+    assert not list(tmp_path.glob("*-landing-*"))
+
+
+def files_read(df):
+    """How many files the scans of a plan without exchanges open, from its metrics."""
+    plan = df._jdf.queryExecution().executedPlan()
+    plan.execute().count()
+    leaves = plan.collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numFiles").value() for i in range(leaves.size()))
+
+
+def test_days_select_the_files(bangkok, tmp_path):
+    start = 1704067200  # midnight in UTC
+    rows = bangkok.range(-48, 24 * 20).selectExpr(
+        "'A' AS province_name", "cast(1 as decimal(10,4)) AS latitude", "cast(2 as decimal(10,4)) AS longitude",
+        f"{start} + id * 3600 AS dt", "cast(id % 50 as decimal(10,2)) AS pm2_5")
+    path = str(tmp_path / "days")
+    land(reading_documents(rows, by_day=True), path, layout="day")
+    assert len(list((tmp_path / "days").glob("day=*"))) == 22
+    found = readings_between(bangkok, path, start + 86400 - 3600, start + 2 * 86400)
+    assert [r.dt for r in found.select(F.unix_timestamp("datetime").alias("dt")).orderBy("dt").collect()] == [
+        start + 86400 + h * 3600 for h in range(-1, 25)]
+    assert files_read(found) == len([f for d in ("2024-01-01", "2024-01-02", "2024-01-03") for f in (tmp_path / "days" / f"day={d}").glob("*.json")])
+    assert readings_between(bangkok, path, 0, 10).count() == 0
+
+
+@pytest.mark.parametrize("named", [10_000, 0])
+def test_broken_files_are_read_whole_and_no_others(bangkok, raw, tmp_path, monkeypatch, named):
+    from hourstar.sources import landing
+
+    monkeypatch.setattr(landing, "NAMED_FILES", named)
+    first, second = document([(0, 1.25), (HOUR, 2.0)]), document([(2 * HOUR, 3.0)])
+    pretty = json.dumps(first, indent=2)
+    (raw / "Pretty.json").write_text(pretty)
+    (raw / "Two.json").write_text(pretty + "\n" + json.dumps(second, indent=4))
+    (raw / "Array {1}.json").write_text(json.dumps([first, second], indent=1))
+    (raw / "Cut.json").write_text(pretty + "\n" + pretty[:60])
+    (raw / "Line.json").write_text(json.dumps(first) + "\n" + json.dumps(second)[:50])  # one good line: stays as it is
+    (raw / "Junk.json").write_text("no json\n5")
+    names = entities_from_text(bangkok, NAMES + ",Pretty,Two,Array {1},Cut,Line,Junk")
+    path = str(tmp_path / "parsed")
+    explode_readings(read_landed(bangkok, str(raw), files=True), keep_empty=True).write.parquet(path)
+    parsed = bangkok.read.parquet(path)
+    assert broken_files(parsed).count() == 5
+    if named:
+        assert files_read(read_whole(bangkok, str(raw), broken_files(parsed))) == 5
+    whole = with_broken_files(bangkok, parsed, str(raw), str(tmp_path / "recovered"))
+    found = {r.province_name: (r.readings, r.corrupt, r.status) for r in landing_status(names, whole).collect()}
+    assert {k: v for k, v in found.items() if k not in NAMES.split(",")} == {
+        "Pretty": (2, 0, "ok"), "Two": (3, 0, "ok"), "Array {1}": (3, 0, "ok"), "Cut": (2, 1, "corrupt"),
+        "Line": (2, 1, "corrupt"), "Junk": (0, 1, "corrupt")}
+    assert {found[n][2] for n in NAMES.split(",")} == {"ok"}
+    values = whole.where("province_name = 'Pretty' AND datetime IS NOT NULL").select("pm2_5", "latitude").collect()
+    assert sorted(map(tuple, values)) == [(Decimal("1.25"), Decimal("13.7525")), (Decimal("2.00"), Decimal("13.7525"))]
+    clean = parsed.where("NOT corrupt")
+    assert with_broken_files(bangkok, clean, str(raw), str(tmp_path / "none")) is clean
+
+
+def test_broken_files_in_other_layouts(bangkok, tmp_path):
+    for layout, folder, more in (("folder", "province_name=007", {}), ("field", "", {"province_name": "007"})):
+        place = tmp_path / layout / folder
+        place.mkdir(parents=True)
+        (place / "a.json").write_text(json.dumps({**document([(0, 1.0)]), **more}, indent=2))
+        (place / "b.json").write_text(json.dumps({**document([(HOUR, 2.0)]), **more}))
+        path = str(tmp_path / layout)
+        explode_readings(read_landed(bangkok, path, layout=layout, files=True), keep_empty=True).write.parquet(path + "-parsed")
+        whole = with_broken_files(bangkok, bangkok.read.parquet(path + "-parsed"), path, path + "-whole", layout=layout)
+        assert sorted((r.province_name, r.pm2_5) for r in whole.collect()) == [("007", Decimal(1)), ("007", Decimal(2))]
+
+
 def test_failed_publication_leaves_the_release_before(bangkok, raw, tmp_path, monkeypatch):
     from hourstar.plans import air_quality
 

@@ -100,3 +100,25 @@ def test_typed_tables_are_recreated_and_loaded_by_position(spark, tmp_path):
 def test_shared_folder_is_the_configured_one(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert build_session(time_zone="UTC") is not None
+
+
+def test_documents_move_once(spark):
+    rows = spark.range(1000).select(F.lit("a").alias("e"), "id", F.when(F.col("id") % 3 > 0, F.lit(1.5)).alias("h"))
+    docs = landing.nest(rows, "e", "items", [F.col("id")], ["id"], ["h"])
+    assert docs._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert {(r.h, len(r["items"])) for r in docs.groupBy("h").agg(F.flatten(F.collect_list("items")).alias("items")).collect()} == {
+        (None, 334), (1.5, 666)}
+    assert landing.nest(rows.where("false"), "e", "items", [F.col("id")], ["id"]).count() == 0
+    nulls = landing.nest(rows.withColumn("e", F.lit(None).cast("string")), "e", "items", [F.col("id")], ["id"])
+    assert nulls.agg(F.sum(F.size("items"))).first()[0] == 1000
+
+
+def test_documents_go_on_over_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        rows = spark.range(10_000).select((F.col("id") >= 9000).alias("e"), "id")
+        docs = landing.nest(rows.coalesce(1), "e", "items", [F.col("id")], ["id"]).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(i.id for d in docs for i in d["items"]) == list(range(10_000))
+    assert len(docs) <= 4 + 3 + 4  # full ones, and one more for each of the tasks' ends
