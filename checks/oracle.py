@@ -307,6 +307,9 @@ ORACLE: dict[str, str] = {
         CAST(o_totalprice AS DECIMAL(12,2)) AS low, CAST(CAST(o_totalprice AS DECIMAL(12,2)) + 10 AS DECIMAL(12,2)) AS high
       FROM lineitem JOIN orders ON CAST(l_extendedprice AS DECIMAL(12,2))
         BETWEEN CAST(o_totalprice AS DECIMAL(12,2)) AND CAST(o_totalprice AS DECIMAL(12,2)) + 10""",
+    "surrogate_key_loads": """SELECT o_orderkey, o_custkey, o_totalprice,
+        row_number() OVER (ORDER BY CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN 0 ELSE 1 END, o_orderkey) AS order_id
+      FROM orders""",
     "dq_report": DQ,
     "dq_observed": DQ,
     "dq_verdict": f"""SELECT "table", count(*) AS rules, count(*) FILTER (NOT passed) AS failed, bool_and(passed) AS passed

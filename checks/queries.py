@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from hourstar import schemas
 from hourstar.functions import aqi
 from hourstar.functions.values import epoch_seconds, mean_of, round_reading, split_list, wall_seconds
-from hourstar.operators import increments, intervals, quality, series, star
+from hourstar.operators import appends, increments, intervals, quality, series, star
 from hourstar.operators.grid import Grid, hourly_spine
 from hourstar.operators.keys import dense_key, enrich
 from hourstar.plans import air_quality, reports
@@ -406,6 +406,17 @@ DQ_RULES = {
 }
 
 
+def surrogate_key_loads(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders loaded in two parts by date; the second part's keys go on where the first part's end."""
+    orders, folder = table(spark, sf, "orders"), scratch_path(spark, "loads")
+    cut = F.lit("1998-01-01").cast("timestamp_ntz")
+    early = F.col("o_orderdate").cast("timestamp_ntz") < cut
+    for name, rows in (("early", early), ("late", ~early)):
+        part = orders.where(rows).select("o_orderkey", "o_custkey", "o_totalprice")
+        appends.append_numbered(folder, name, part, ["o_orderkey"], "order_id", "bigint")
+    return appends.appended(spark, folder)
+
+
 def dq_report(spark: SparkSession, sf: str) -> DataFrame:
     return quality.scan({name: table(spark, sf, name) for name in DQ_RULES}, DQ_RULES)
 
@@ -553,6 +564,7 @@ QUERIES: dict[str, Query] = {
     "fk_verdicts": fk_verdicts,
     "fk_unlike_types": fk_unlike_types,
     "interval_join": interval_join,
+    "surrogate_key_loads": surrogate_key_loads,
     "dq_report": dq_report,
     "dq_observed": dq_observed,
     "dq_verdict": dq_verdict,
