@@ -43,6 +43,30 @@ def test_ids_and_decoding(words):
         assert own.decode(ids) == library.decode(wanted, skip_special_tokens=False)
 
 
+def test_every_code_point(words):
+    library, own = words
+    points = [chr(p) for p in range(0x110000) if not 0xD800 <= p < 0xE000]
+    for form in ("a{}a", "{}", "é{}\u0301", "1{}Σ"):
+        texts = ["".join(form.format(c) for c in points[k : k + 64]) for k in range(0, len(points), 64)]
+        for text, wanted in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
+            assert own.encode(text).tolist() == wanted.ids, ascii(text[:20])
+
+
+def test_pairs_of_code_points_that_versions_know_differently(words):
+    library, own = words
+    rng = random.Random(5)
+    odd = [chr(p) for p in range(0x110000) if not 0xD800 <= p < 0xE000 and own.doubtful.match(chr(p))]
+    known = [c for c in map(chr, range(0x1E00, 0x20000)) if not 0xD800 <= ord(c) < 0xE000 and own.doubtful.match(c)]
+    for _ in range(4000):
+        text = "".join(rng.choice((odd, known, PIECES))[rng.randrange(30)] if rng.random() < 0.2 else rng.choice(known) for _ in range(rng.randint(1, 12)))
+        assert own.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
+def test_files_of_other_kinds_are_refused():
+    with pytest.raises(ValueError, match="not a file"):
+        codec(tokenizer_file("byte_bpe_50k.json"))
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text(max_size=60))
 def test_any_text(words, counter, text):
