@@ -268,6 +268,8 @@ ORACLE: dict[str, str] = {
       o_orderdate, o_orderkey FROM orders""",
     "star_join": f"""{STAR_WITH} SELECT f.*, d.* EXCLUDE (date_key), CAST(f.record_time AS INTEGER) AS hour, s.station
       FROM fact f JOIN dates d ON record_date = date_key JOIN stations s USING (station_id)""",
+    "star_join_period": f"""{STAR_WITH} SELECT f.*, d.* EXCLUDE (date_key), CAST(f.record_time AS INTEGER) AS hour, s.station
+      FROM fact f JOIN dates d ON record_date = date_key JOIN stations s USING (station_id) WHERE day_of_week IN ('Sat', 'Sun')""",
     "report_monthly_profile": f"{STAR_WITH} SELECT month, {REPORT} FROM {FACT_DATES} GROUP BY month",
     "report_monthly_trend": f"{STAR_WITH} SELECT start_of_month, {REPORT} FROM {FACT_DATES} GROUP BY start_of_month",
     "report_weekday_weekend": f"""{STAR_WITH} SELECT CASE WHEN day_of_week IN ('Sat', 'Sun') THEN 'weekend' ELSE 'weekday' END AS day_kind,

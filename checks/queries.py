@@ -143,6 +143,16 @@ def star_join(spark: SparkSession, sf: str) -> DataFrame:
     return star.star_join(s.fact, s.dates, s.times, s.stations, "station_id")
 
 
+def star_join_period(spark: SparkSession, sf: str) -> DataFrame:
+    """The fact's files are split by day; those of the weekends' days are opened."""
+    s = EventStar(spark, sf)
+    path = scratch_path(spark, "fact")
+    tables.write_split(star.with_period(s.fact, "day"), path, "period", ["record_time", "station_id"])
+    fact = spark.read.schema(s.fact.withColumn("period", F.lit("")).schema).parquet(path)
+    weekends = stored(s.dates, "dates").where(F.col("day_of_week").isin("Sat", "Sun"))
+    return star.star_join(fact, weekends, s.times, s.stations, "station_id", period="day")
+
+
 def user_regions(spark: SparkSession, sf: str, which: str = "true") -> DataFrame:
     customers = table(spark, sf, "customer").where(which).select(F.col("c_custkey").cast("string").alias("station"), "c_nationkey")
     nations = table(spark, sf, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
@@ -543,6 +553,7 @@ QUERIES: dict[str, Query] = {
     "surrogate_key": lambda spark, sf: dense_key(
         table(spark, sf, "orders").select("o_orderdate", "o_orderkey"), ["o_orderdate", "o_orderkey"], "order_id"),
     "star_join": star_join,
+    "star_join_period": star_join_period,
     "report_monthly_profile": report(lambda s: reports.monthly_profile(s.fact, s.dates)),
     "report_monthly_trend": report(lambda s: reports.monthly_trend(s.fact, s.dates)),
     "report_weekday_weekend": report(lambda s: reports.weekday_weekend(s.fact, s.dates)),

@@ -3,6 +3,7 @@
 import argparse
 import sys
 
+from hourstar.operators.star import PERIODS
 from hourstar.plans.air_quality import Job, run
 from hourstar.session import build_session
 from hourstar.sources.landing import LAYOUTS
@@ -19,6 +20,7 @@ def parse(args: list[str]) -> argparse.Namespace:
     parser.add_argument("--layout", choices=LAYOUTS, default="file", help="where a document's province is named")
     parser.add_argument("--database", help="catalog schema whose names shall stand for the published tables")
     parser.add_argument("--record-id-type", choices=("int", "bigint"), default="int", help="bigint for a fact beyond 2^31 rows")
+    parser.add_argument("--period", choices=sorted(PERIODS), help="split the fact's files by it")
     parser.add_argument("--time-zone", default="Asia/Bangkok")
     return parser.parse_args(args)
 
@@ -28,7 +30,7 @@ def main(args: list[str]) -> int:
     spark = build_session("hourstar air quality", given.time_zone)
     try:
         job = Job(given.raw, given.out, given.start, given.end, layout=given.layout, record_id_type=given.record_id_type,
-                  database=given.database)
+                  database=given.database, period=given.period)
         run(spark, entities_from_text(spark, given.provinces), job)
     finally:
         spark.stop()

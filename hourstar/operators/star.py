@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from hourstar.operators.keys import dense_key, lookup_join
 
+# Leading digits of a date key (yyyyMMdd).
+PERIODS = {"year": 4, "month": 6, "day": 8}
+
 
 def dim_entity(df: DataFrame, entity: str, key: str, attributes: Sequence[str] = (),
                key_type: str = "int", scratch: str | None = None) -> DataFrame:
@@ -60,10 +63,20 @@ def fact(df: DataFrame, dim: DataFrame, entity: str, time: str, key: str, measur
     )
 
 
-def star_join(fact_df: DataFrame, dates: DataFrame, times: DataFrame, entities: DataFrame, key: str) -> DataFrame:
-    """The fact with all three dimensions. Dates and hours are bounded by the calendar."""
-    with_calendar = lookup_join(
-        lookup_join(fact_df, dates.withColumnRenamed("date_key", "record_date"), "record_date"),
-        times.withColumnRenamed("time_key", "record_time"), "record_time",
-    )
-    return lookup_join(with_calendar, entities, key)
+def with_period(df: DataFrame, period: str, date: str = "record_date") -> DataFrame:
+    """The rows with the year, month or day of their date key, as text, in ``period``: what a fact's files are split by."""
+    return df.withColumn("period", F.substring(date, 1, PERIODS[period]))
+
+
+def star_join(fact_df: DataFrame, dates: DataFrame, times: DataFrame, entities: DataFrame, key: str, period: str | None = None) -> DataFrame:
+    """The fact with all three dimensions. Dates and hours are bounded by the calendar.
+
+    ``period`` is what the fact's files are split by. The join then asks for it, too, so that of a fact joined with some
+    of the dates only their periods' files are opened.
+    """
+    calendar, on = dates.withColumnRenamed("date_key", "record_date"), ["record_date"]
+    if period:
+        calendar, on = with_period(calendar, period), ["record_date", "period"]
+    by_day = lookup_join(fact_df, calendar, on).drop(*on[1:])
+    by_hour = lookup_join(by_day, times.withColumnRenamed("time_key", "record_time"), "record_time")
+    return lookup_join(by_hour, entities, key)

@@ -15,14 +15,14 @@ from hourstar.functions.aqi import with_aqi
 from hourstar.operators.grid import Grid
 from hourstar.operators.quality import Measured, gate, scan, star_foreign_keys, star_rules
 from hourstar.operators.series import clean_readings, complete_series
-from hourstar.operators.star import dim_date, dim_entity, dim_time, fact
+from hourstar.operators.star import dim_date, dim_entity, dim_time, fact, with_period
 from hourstar.operators.keys import enrich
 from hourstar.session import stored
 from hourstar.sources.landing import (
     between_epochs, explode_readings, land, landed_files, landing_status, read_landed, reading_documents, require_all,
     with_broken_files,
 )
-from hourstar.sources.tables import declared, point_view, read_table, write_table
+from hourstar.sources.tables import declared, point_view, read_table, write_split, write_table
 
 ENTITY, TIME, KEY = "province_name", "datetime", "province_id"
 # Coordinates are filled like the value, to four decimals.
@@ -33,7 +33,8 @@ COORDINATES = {"latitude": 4, "longitude": 4}
 class Job:
     """Where the documents lie and how they are keyed, where the star goes, and the closed range of hours.
 
-    ``record_id_type`` is INT as declared; use ``bigint`` where the fact can pass 2^31 rows.
+    ``record_id_type`` is INT as declared; use ``bigint`` where the fact can pass 2^31 rows. ``period``, year, month or
+    day, splits the fact's files by time; the published fact then has a column ``period`` for ``star_join``.
     """
 
     raw: str
@@ -43,6 +44,7 @@ class Job:
     layout: str = "file"
     record_id_type: str = "int"
     database: str | None = None
+    period: str | None = None
 
     @property
     def star(self) -> dict[str, dict[str, str]]:
@@ -86,15 +88,14 @@ def numbered_fact(aqi: DataFrame, provinces: DataFrame, start: str, end: str, re
     """The fact with ``record_id`` 1..N in the order of hour and province.
 
     The series is complete, so the number follows from the hour's slot and the province's number by
-    arithmetic: no pass for ordering, no second copy. Files hold ranges of it, so row-group
-    statistics prune by date.
+    arithmetic: no pass for ordering, no second copy.
     """
     n = provinces.agg(F.coalesce(F.max(KEY), F.lit(0))).first()[0]
     number = Grid(start, end).slot_of(F.col("_time")).cast("long") * n + F.col(KEY)
     rows = fact(aqi.withColumn("_time", F.col(TIME)), provinces, ENTITY, TIME, KEY, ["_time", "pm2_5", "aqi"])
     rows = rows.withColumn("record_id", number.cast(record_id_type)).drop("_time")
     columns = ["record_id", *(c for c in rows.columns if c != "record_id")]
-    return rows.select(*columns).repartitionByRange("record_id").sortWithinPartitions("record_id")
+    return rows.select(*columns)
 
 
 def build(spark: SparkSession, provinces: DataFrame, job: Job, n_provinces: int | None = None,
@@ -121,7 +122,14 @@ def build(spark: SparkSession, provinces: DataFrame, job: Job, n_provinces: int
 
     def write(name: str, table: DataFrame) -> None:
         observe = measured[name].observe if measured else None
-        write_table(declared(table, job.star[name]), f"{version}/{name}", compact=name.startswith("dim_"), observe=observe)
+        rows, path = declared(table, job.star[name]), f"{version}/{name}"
+        if name.startswith("dim_"):
+            write_table(rows, path, compact=True, observe=observe)
+        elif job.period:
+            write_split(with_period(rows, job.period), path, "period", ["record_id"], observe=observe)
+        else:
+            # Files hold ranges of the number, so row-group statistics prune by date.
+            write_table(rows.repartitionByRange("record_id").sortWithinPartitions("record_id"), path, observe=observe)
 
     write("dim_province", dim_entity(aqi, ENTITY, KEY, list(COORDINATES), scratch=version))
     write("dim_date", dim_date(aqi, TIME))
@@ -132,12 +140,13 @@ def build(spark: SparkSession, provinces: DataFrame, job: Job, n_provinces: int
 
 
 def open_star(spark: SparkSession, version: str, job: Job) -> dict[str, DataFrame]:
-    return {t: read_table(spark, f"{version}/{t}", columns) for t, columns in job.star.items()}
+    split = {"fact_air_quality": {"period": "STRING"}} if job.period else {}
+    return {t: read_table(spark, f"{version}/{t}", {**columns, **split.get(t, {})}) for t, columns in job.star.items()}
 
 
 def audit(spark: SparkSession, version: str, job: Job, n_provinces: int, measured: Mapping[str, Measured] | None = None) -> DataFrame:
     """Store and return the verdicts of all rules and foreign keys."""
-    tables = open_star(spark, version, job)
+    tables = {t: df.drop("period") for t, df in open_star(spark, version, job).items()}
     rules = star_rules(n_provinces, job.record_id_type)
     verdicts = scan(tables, rules, measured).unionByName(star_foreign_keys(tables))
     write_table(verdicts, f"{version}/audit", compact=True)

@@ -114,6 +114,20 @@ def test_job_publishes_an_audited_star(bangkok, raw, tmp_path):
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, facts))
 
 
+def test_job_splits_the_fact_by_days(bangkok, raw, tmp_path):
+    j = job(raw, tmp_path, database="split", period="day")
+    verdicts = run(bangkok, entities_from_text(bangkok, NAMES), j)
+    assert verdicts.filter("not passed").count() == 0 and verdicts.count() == 60 + 4 + 3
+    facts = published(bangkok, j)["fact_air_quality"]
+    assert sorted((r.period, r.n) for r in facts.groupBy("period").agg(F.count("*").alias("n")).collect()) == [("20210101", 72), ("20210102", 72)]
+    assert facts.where("period <> record_date").count() == 0
+    plain = job(raw, tmp_path / "plain")
+    run(bangkok, entities_from_text(bangkok, NAMES), plain)
+    whole = published(bangkok, plain)["fact_air_quality"]
+    assert sorted(map(tuple, facts.drop("period").collect())) == sorted(map(tuple, whole.collect()))
+    assert sorted(map(tuple, bangkok.table("split.fact_air_quality").collect())) == sorted(map(tuple, whole.collect()))
+
+
 def test_province_without_readings_is_reported_not_fatal(bangkok, raw, tmp_path):
     (raw / "Empty.json").write_text(json.dumps(document([])))
     (raw / "Pretty.json").write_text(json.dumps(document([(0, 1.0)]), indent=2))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from hourstar.operators import keys, star
 from hourstar.plans import reports
+from hourstar.sources import tables
 
 
 def test_dense_key_numbers_in_order_whatever_the_layout(spark):
@@ -107,3 +108,61 @@ def test_fact_and_reports(spark, hourly):
     loose = spark.createDataFrame([("Bangkok", "South"), ("Bangkok", "Central")], "name STRING, region STRING")
     assert {r.region: r.hours for r in reports.regional(facts, provinces, "id", "name", loose).collect()} == {
         "Central": 3, "unknown": 2}
+
+
+def scanned(df):
+    """How many files the scans of a plan open, from the metrics of the run."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    assert isinstance(df, DataFrame)
+    plan = df._jdf.queryExecution().executedPlan()
+    plan.executeCollect()
+    found, todo = {}, [plan.executedPlan() if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec" else plan]
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName().endswith("QueryStageExec"):
+            todo.append(node.plan())
+            continue
+        if node.metrics().contains("numFiles"):
+            roots = node.relation().location().rootPaths()
+            found[roots.apply(0).getName()] = node.metrics().apply("numFiles").value()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+@pytest.mark.parametrize(("period", "files"), [("day", 2), ("month", 1), ("year", 1)])
+def test_periods_of_the_dates_select_the_files(spark, tmp_path, period, files):
+    hours = spark.range(24 * 80).select(
+        F.timestamp_seconds(F.lit(1701388800) + F.col("id") * 3600).alias("t"), F.explode(F.array(F.lit("a"), F.lit("b"))).alias("name"),
+        F.col("id").cast("int").alias("aqi"))
+    entities, dates, times = star.dim_entity(hours, "name", "id"), star.dim_date(hours, "t"), star.dim_time(hours, "t")
+    facts = star.with_period(star.fact(hours, entities, "name", "t", "id", ["aqi"]), period)
+    path = str(tmp_path / "fact")
+    tables.write_split(facts, path, "period", ["record_time", "id"])
+    dates.write.parquet(str(tmp_path / "dates"))
+    back = spark.read.schema(facts.schema).parquet(path)
+    wanted = spark.read.parquet(str(tmp_path / "dates")).where("date in (date'2024-02-10', date'2024-02-11')")
+    joined = star.star_join(back, wanted, times, entities, "id", period=period)
+    whole = star.star_join(facts.drop("period"), wanted, times, entities, "id")
+    assert joined.columns == whole.columns
+    assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, whole.collect())) and whole.count() == 96
+    assert scanned(joined)["fact"] == files < len(list((tmp_path / "fact").glob("period=*")))
+
+
+def test_split_tables_keep_nulls_cut_hot_values_and_refuse_empty_ones(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(1, None), (2, "b"), (3, "b"), (4, "a/ %")], "v INT, p STRING")
+    tables.write_split(df, path, "p", ["v"])
+    assert sorted(map(tuple, spark.read.schema(df.schema).parquet(path).collect())) == sorted(map(tuple, df.collect()))
+    tables.write_split(df.limit(0), path, "p")
+    assert spark.read.schema(df.schema).parquet(path).count() == 0
+    with pytest.raises(Exception, match="must not be empty"):
+        tables.write_split(df.fillna(""), path, "p")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200KB")
+    try:
+        hot = spark.range(400_000).select(F.xxhash64("id").alias("v"), F.when(F.col("id") % 1000 > 0, "hot").otherwise("cold").alias("p"))
+        tables.write_split(hot.repartition(16), path, "p", ["v"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list((tmp_path / "t" / "p=hot").glob("part-*"))) > 4
+    assert spark.read.parquet(path).count() == 400_000
