@@ -6,7 +6,8 @@ by their tag (menus, footers, sidebars, forms, scripts, styles ...), by a class,
 
 For every node the text density is its characters per tag. The composite density multiplies it by the
 logarithm of (characters per link character x tags per link tag), whose base grows with the node's
-share of link text and with the page's. A node's density sum is the sum of its children's composite densities. The
+share of link text and with the page's. A node's density sum is the sum of the composite densities of those children that
+are or hold blocks: runs of bold or linked words inside a paragraph are part of it, not blocks beside it. The
 node of the largest sum is the main subtree, and the smallest composite density on the path from it to the
 body is the threshold: what hangs off that path is kept if its density reaches the threshold, or if it is a
 heading, an ``article`` or a ``main``. If the main subtree lies in such an element, the outermost is the text, and of an
@@ -17,14 +18,15 @@ Blocks are joined by one line feed in page order. Inside a block, white space be
 references are decoded once.
 
 Defined results. Null, empty and text-free pages: empty text. Cut-off pages and unclosed tags: read to the
-end. Repeated rows are extracted each; other columns are kept or ignored by the caller's choice. Pages of
-any length are read whole, in time proportional to their length.
+end. Repeated rows are extracted each; other columns are kept or ignored by the caller's choice, but none may have the
+name of a result column. Pages of any length are read whole, in time proportional to their length.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from html import unescape
 
@@ -34,7 +36,7 @@ from pyspark.sql import DataFrame
 from hourstar.llm.batches import pieces
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template svg math".split())
+RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template svg".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td "
@@ -56,7 +58,7 @@ CLOSES = {
 HEAD_HOLDS = frozenset("html base basefont bgsound link meta title style script noscript noframes template".split())
 P_SCOPE = frozenset("html body table td th caption button object".split())
 
-CUT_TAGS = frozenset("head nav footer aside form button select input label dialog menu object embed canvas audio video".split())
+CUT_TAGS = frozenset("head nav footer aside form button select input label dialog menu object embed canvas audio video annotation annotation-xml".split())
 CUT_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar menu nav navbar "
     "navigation breadcrumb breadcrumbs footer masthead comment comments disqus reply replies respond discussion cookie cookies "
@@ -80,7 +82,7 @@ _NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "attributes", "parent", "children", "chars", "link_chars", "tags", "link_tags", "density", "total")
+    __slots__ = ("tag", "attributes", "parent", "children", "chars", "link_chars", "tags", "link_tags", "density", "holds_block", "total")
 
     def __init__(self, tag: str, attributes: str, parent: "Node | None"):
         self.tag, self.attributes, self.parent = tag, attributes, parent
@@ -90,19 +92,37 @@ class Node:
 def parse(page: str) -> Node:
     root = Node("html", "", None)
     stack = [root]
+    # Depths of the open elements by tag, and of all blocks, so that no end tag has to look for its element.
+    depths: defaultdict[str, list[int]] = defaultdict(list)
+    blocks_at: list[int] = []
     at, length = 0, len(page)
 
+    def push(node: Node) -> None:
+        depths[node.tag].append(len(stack))
+        if node.tag in BLOCK:
+            blocks_at.append(len(stack))
+        stack.append(node)
+
+    def pop() -> None:
+        tag = stack.pop().tag
+        depths[tag].pop()
+        if tag in BLOCK:
+            blocks_at.pop()
+
+    def deepest(tags: frozenset[str] | tuple[str, ...]) -> int:
+        if tags is BLOCK:
+            return blocks_at[-1] if blocks_at else 0
+        return max((depths[t][-1] for t in tags if depths.get(t)), default=0)
+
     def close(targets: frozenset[str] | tuple[str, ...], limits: frozenset[str]) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].tag in targets:
-                del stack[k:]
-                return
-            if stack[k].tag in limits:
-                return
+        target = deepest(targets)
+        if target > deepest(limits):
+            while len(stack) > target:
+                pop()
 
     def add(text: str) -> None:
         if stack[-1].tag == "head" and text.strip():
-            stack.pop()
+            pop()
         stack[-1].children.append(text)
 
     while at < length:
@@ -125,14 +145,14 @@ def parse(page: str) -> Node:
             continue
         attributes = match["attributes"] or match["attributes2"] or ""
         if stack[-1].tag == "head" and tag not in HEAD_HOLDS:
-            stack.pop()
+            pop()
         if tag in RAW:
             ending = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, at)
-            if not attributes.endswith("/") or tag not in ("svg", "math"):
+            if not attributes.endswith("/") or tag != "svg":
                 at = ending.end() if ending else length
             stack[-1].children.append(Node(tag, attributes, stack[-1]))
             continue
-        if tag == "html" or (tag == "body" and any(n.tag == "body" for n in stack)):
+        if tag == "html" or (tag == "body" and depths["body"]):
             continue
         if tag in CLOSES:
             close(*CLOSES[tag])
@@ -141,7 +161,7 @@ def parse(page: str) -> Node:
         node = Node(tag, attributes, stack[-1])
         stack[-1].children.append(node)
         if tag not in VOID:
-            stack.append(node)
+            push(node)
     return root
 
 
@@ -205,8 +225,10 @@ def measure(nodes: Sequence[Node]) -> None:
         base = math.log(node.chars / plain * node.link_chars + share * node.chars + math.e)
         ratio = node.chars / links * tags / link_tags
         node.density = node.chars / tags * (math.log(ratio) / math.log(base + 1e-9) if ratio > 1 and base > 1 + 1e-6 else max(0.0, math.log(ratio or 1)))
-    for node in nodes:
-        node.total = sum(c.density for c in node.children if not isinstance(c, str))
+    for node in reversed(nodes):
+        parts = [c for c in node.children if not isinstance(c, str) and c.holds_block]
+        node.holds_block = bool(parts) or node.tag in BLOCK
+        node.total = sum(c.density for c in parts)
 
 
 def kept(nodes: Sequence[Node]) -> list[Node | str]:
@@ -277,6 +299,8 @@ def main_text(page: str | None) -> str:
 
 def extract(pages: DataFrame, *, html_col: str = "html", keep: Sequence[str] = ()) -> DataFrame:
     """The ``keep`` columns, ``text`` and ``n_chars`` of every row."""
+    if clash := {"text", "n_chars"}.intersection(keep):
+        raise ValueError(f"rename the columns {sorted(clash)}, the result has such")
     names = [f"kept_{i}" for i in range(len(keep))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,8 +1,9 @@
+import time
 from html.parser import HTMLParser
 
 import pytest
 
-from hourstar.llm.html_extract import main_text
+from hourstar.llm.html_extract import BLOCK, in_order, main_text, measure, parse
 from hourstar.llm.queries import op5_html_extraction
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -86,9 +87,12 @@ def test_empty_table(spark):
     from hourstar.llm.html_extract import extract
 
     pages = spark.createDataFrame([(1, None, "u"), (1, "<p>x", "u"), (None, "<p>x", None)], "page_id long, html string, text string")
-    rows = extract(pages, keep=["page_id", "text"])
-    assert rows.columns == ["page_id", "text", "text", "n_chars"]
-    assert sorted((r[0] or 0, r[2]) for r in rows.collect()) == [(0, "x"), (1, ""), (1, "x")]
+    for clash in ("text", "n_chars"):
+        with pytest.raises(ValueError, match="rename the columns"):
+            extract(pages.withColumn("n_chars", pages.page_id), keep=["page_id", clash])
+    rows = extract(pages.withColumnRenamed("text", "url"), keep=["page_id", "url"])
+    assert rows.columns == ["page_id", "url", "text", "n_chars"]
+    assert sorted((r.page_id or 0, r.text) for r in rows.collect()) == [(0, "x"), (1, ""), (1, "x")]
     assert extract(pages.limit(0), keep=["page_id"]).count() == 0
 
 
@@ -124,3 +128,69 @@ def test_long_attribute_values_are_attributes():
 ])
 def test_open_head_ends_where_the_text_begins(page, text):
     assert main_text(page) == text
+
+
+@pytest.mark.parametrize("tags", [{"article": "section"}, {"article": "div"}, {"article": "font"}])
+def test_density_finds_the_text_without_an_article_tag(tags):
+    """What the tag encloses is found where it has another name, on every page of the table."""
+    import duckdb
+
+    for (page,) in duckdb.sql(f"SELECT html FROM '{SF_DIR}/pages.parquet'").fetchall():
+        parser = Article()
+        parser.feed(page)
+        for tag, other in tags.items():
+            page = page.replace(f"<{tag}>", f"<{other}>").replace(f"</{tag}>", f"</{other}>")
+        assert "article" not in page and main_text(page) == "\n".join(parser.out)
+
+
+def plain_totals(node, densities):
+    """Density sums from the definition, by recursion."""
+    def holds(n):
+        return n.tag in BLOCK or any(holds(c) for c in n.children if not isinstance(c, str))
+
+    return sum(densities[id(c)] for c in node.children if not isinstance(c, str) and holds(c))
+
+
+def test_density_sums_against_their_definition():
+    page = PAGE % f"<div><p>{LOREM}<a href=x>link</a><p><span><b>{LOREM}</b></span><span><div>in</div></span></div><p>{LOREM} {LOREM}"
+    nodes = in_order(parse(page))
+    measure(nodes)
+    densities = {id(n): n.density for n in nodes}
+    for node in nodes:
+        assert node.total == pytest.approx(plain_totals(node, densities))
+        inner = [c for c in node.children if not isinstance(c, str)]
+        assert node.tags == sum(1 + c.tags for c in inner)
+        links = [n for n in nodes if n.tag == "a" and node in ancestors(n)]
+        assert node.link_chars == sum(n.chars for n in links)
+    assert max(nodes, key=lambda n: n.total).tag in ("div", "body")
+
+
+def ancestors(node):
+    out = []
+    while node is not None:
+        out.append(node)
+        node = node.parent
+    return out
+
+
+def test_unmatched_end_tags_take_linear_time():
+    for start in ("", "<i><div>", "<body>"):
+        seconds = []
+        for n in (20_000, 80_000):
+            page = start + "<b>" * n + "</i>" * n + "<body>" * n + "<li>" * 50 + "x"
+            begun = time.process_time()
+            assert main_text(page) == "x"
+            seconds.append(time.process_time() - begun)
+        assert seconds[1] < 12 * seconds[0] + 1
+
+
+def test_formulas_are_text():
+    assert main_text(f"<p>{LOREM}<math><mi>x</mi><mo>+</mo><mn>1</mn><annotation>x+1</annotation></math>") == LOREM.strip() + " x+1"
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ("<table><tr><td>a<table><tr><td>b</table>c<td>d</table>e", "a\nb\nc\nd\ne"), ("<ul><li>a<ul><li>b</ul>c<li>d</ul>", "a\nb\nc\nd"),
+    ("<b><p>a</b>b</p>c", "ab\nc"), ("<p>a<b>b</p>c</b>d", "ab\ncd"), ("<dl><dt>a<dd>b<dt>c</dl>", "a\nb\nc"),
+])
+def test_open_elements_are_closed_as_far_as_their_scope(page, text):
+    assert main_text(page) == text
