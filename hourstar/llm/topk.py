@@ -99,6 +99,10 @@ def search(queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, data_id
     worst = np.full(len(queries), -np.inf)
     slack = 1e-9 * (norm_q.max() * norm_d.max() + 1)
 
+    def below(score) -> float:
+        """The score as a double that is not above it."""
+        return float(score) if exact else float(score) - abs(float(score)) * 1e-9
+
     def bound(a: int, b: int) -> float:
         r, s = q.radius[a], d.radius[b]
         return centre_scores[a, b] + r * norm_d[d.centre[b]] + s * norm_q[q.centre[a]] + r * s + slack
@@ -106,16 +110,18 @@ def search(queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, data_id
     def compare(a: int, b: int) -> None:
         rows, columns = q.order[q.start[a] : q.end[a]], d.order[d.start[b] : d.end[b]]
         scores = queries[rows] @ data[columns].T
-        for row, line in zip(rows.tolist(), scores):
-            own = columns[(line >= worst[row]) & (data_ids[columns] != query_ids[row])] if exact else columns[data_ids[columns] != query_ids[row]]
-            if not len(own):
-                continue
+        allowed = data_ids[columns] != query_ids[rows][:, None]
+        if exact:
+            allowed &= scores >= worst[rows][:, None]
+        for at in np.flatnonzero(allowed.any(axis=1)).tolist():
+            row, own = int(rows[at]), np.flatnonzero(allowed[at])
+            values, ids = -scores[at, own], data_ids[columns[own]]
             # The k best of the leaf are enough; equal scores in order of id.
-            values = line[np.isin(columns, own)]
-            ranked = sorted(zip((-values).tolist(), data_ids[own].tolist(), own.tolist()))[:k]
+            first = np.lexsort((ids, values))[:k] if exact else sorted(range(len(own)), key=lambda i: (values[i], ids[i]))[:k]
+            ranked = list(zip(values[first].tolist(), ids[first].tolist(), columns[own[first]].tolist()))
             best[row] = sorted(best[row] + ranked)[:k]
             if len(best[row]) == k:
-                worst[row] = float(-best[row][-1][0]) if exact else -np.inf
+                worst[row] = max(worst[row], below(-best[row][-1][0]))
 
     todo = [(0, 0)]
     while todo:
