@@ -84,3 +84,45 @@ def test_repeated_query_rows(spark, monkeypatch):
     other = (0, rng.normal(size=4).tolist())
     both = found(top_k(spark.createDataFrame(rows + [other], schema), lambda c: c == 0, 10))
     assert both == sorted(once + plain([other] + rows[1:], lambda i: i == 0, 10))
+
+
+def visited(spark, rows, is_query, k):
+    """How many (query, shard) pairs are searched, and how many there are."""
+    from pyspark.sql import functions as F
+
+    from hourstar.llm import topk
+
+    df = spark.createDataFrame(rows, "id long, vector array<double>")
+    data, groups = topk.grouped(df.withColumn("length", F.size("vector")))
+    home = topk.queries_at_home(data, is_query)
+    place = ("group", "shard", "length")
+    near = home.groupBy(*place).cogroup(data.groupBy(*place)).applyInPandas(topk.best_of(k), "query_id long, query long, id long, score long")
+    n, shards = home.count(), sum(g.shards for g in groups)
+    return n + topk.visits(home, near, groups, k).count(), n * shards
+
+
+def test_shards_without_a_chance_are_not_visited(spark, monkeypatch):
+    monkeypatch.setattr("hourstar.llm.topk.SHARD_ROWS", 50)
+    monkeypatch.setattr("hourstar.llm.topk.BLOCK_ROWS", 7)
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(40, 8)) * 20
+    rows = [(i, (centres[i % 40] + rng.normal(size=8) * 0.05).tolist()) for i in range(2000)]
+    searched, pairs = visited(spark, rows, lambda i: i % 20 == 0, 5)
+    assert searched < pairs / 3
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert found(top_k(df, lambda i: i % 20 == 0, 5)) == plain(rows, lambda i: i % 20 == 0, 5)
+    # Without clusters every query meets every shard, and once.
+    loose = [(i, rng.normal(size=32).tolist()) for i in range(600)]
+    searched, pairs = visited(spark, loose, lambda i: i % 20 == 0, 5)
+    assert searched == pairs
+
+
+@pytest.mark.parametrize("groups", [1, 3, 1024])
+def test_groups_do_not_change_the_result(spark, monkeypatch, groups):
+    monkeypatch.setattr("hourstar.llm.topk.SHARD_ROWS", 30)
+    monkeypatch.setattr("hourstar.llm.topk.GROUPS", groups)
+    rng = np.random.default_rng(10)
+    rows = [(i, rng.normal(size=3).tolist()) for i in range(200)] + [(200 + i, [0.5, 0.5, 0.5]) for i in range(100)]
+    rows += [(300 + i, [1e6 * (i % 3), 3e5 - i, 7.0, 1e5]) for i in range(70)] + [(400, [1e3, 1.0]), (401, [1.0, 1e-300])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert found(top_k(df, lambda i: i % 10 == 0, 6)) == plain(rows, lambda i: i % 10 == 0, 6)
