@@ -32,7 +32,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
@@ -198,11 +198,11 @@ def nearest(pivots: list[np.ndarray]):
     return pandas_udf(run, "group int, distance double")
 
 
-def shards_to_visit(groups: list[Group]):
-    """(group, shard) pairs that may hold a score of at least ``kth``, but for the query's own."""
+def groups_to_visit(groups: list[Group]):
+    """Groups that may hold a score of at least ``kth``."""
 
-    def run(vectors: pd.Series, kth: pd.Series, group: pd.Series, shard: pd.Series) -> pd.Series:
-        out: list[list[dict[str, int]]] = [[] for _ in vectors]
+    def run(vectors: pd.Series, kth: pd.Series) -> pd.Series:
+        out: list[list[int]] = [[] for _ in vectors]
         lengths, known = vectors.map(len).to_numpy(), kth.fillna(-np.inf).to_numpy(float)
         for length in np.unique(lengths):
             numbers = [g for g, x in enumerate(groups) if x.pivot is not None and len(x.pivot) == length]
@@ -219,11 +219,14 @@ def shards_to_visit(groups: list[Group]):
             else:
                 numbers, reaches = [g for g, x in enumerate(groups) if x.pivot is None], np.ones((len(at), 1), bool)
             for row, line in zip(at.tolist(), reaches):
-                own = (group.iat[row], shard.iat[row])
-                out[row] = [{"group": g, "shard": n} for g, yes in zip(numbers, line) if yes for n in range(groups[g].shards) if (g, n) != own]
+                out[row] = [g for g, yes in zip(numbers, line) if yes]
         return pd.Series(out)
 
-    return pandas_udf(run, "array<struct<group int, shard int>>")
+    return pandas_udf(run, "array<int>")
+
+
+def shards_of(groups: list[Group], group) -> Column:
+    return F.get(F.array(*[F.lit(g.shards) for g in groups]), group)
 
 
 def best_of(k: int):
@@ -262,8 +265,7 @@ def grouped(vectors: DataFrame) -> tuple[DataFrame, list[Group]]:
         # Rounding must not make a radius too small.
         groups.append(Group(pivot, radius * (1 + 1e-9), -(-rows // SHARD_ROWS)))
     # Rows of one id are dealt by their vectors, too, so that a repeated id does not fill a shard.
-    shards = F.get(F.array(*[F.lit(max(1, g.shards)) for g in groups]), F.col("group"))
-    return placed.withColumn("shard", F.pmod(F.xxhash64("id", "vector"), shards).cast("int")), groups
+    return placed.withColumn("shard", F.pmod(F.xxhash64("id", "vector"), shards_of(groups, F.col("group"))).cast("int")), groups
 
 
 def queries_at_home(data: DataFrame, is_query) -> DataFrame:
@@ -277,8 +279,10 @@ def visits(home: DataFrame, found: DataFrame, groups: list[Group], k: int) -> Da
     kth = found.groupBy("query_id", "query").agg(F.min("score").alias("worst"), F.count("*").alias("n"))
     kth = kth.select(F.col("query_id").alias("id"), "query", F.when(F.col("n") >= k, F.col("worst")).alias("kth"))
     asked = home.drop("kth").join(kth, ["id", "query"], "left")
-    to = shards_to_visit(groups)("vector", "kth", "group", "shard")
-    return asked.withColumn("to", F.explode(to)).select("id", "vector", "length", "query", "kth", "to.*")
+    sent = asked.withColumn("to", F.explode(groups_to_visit(groups)("vector", "kth"))).where(shards_of(groups, F.col("to")) > 0)
+    sent = sent.withColumn("at", F.explode(F.sequence(F.lit(0), shards_of(groups, F.col("to")) - 1)))
+    sent = sent.where((F.col("to") != F.col("group")) | (F.col("at") != F.col("shard")))
+    return sent.select("id", "vector", "length", "query", "kth", F.col("to").alias("group"), F.col("at").alias("shard"))
 
 
 def top_k(df: DataFrame, is_query, k: int, *, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
