@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 import json
+import os
+import re
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from itertools import groupby
+from operator import itemgetter
 from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -98,44 +104,121 @@ def reading_documents(readings: DataFrame, entity: str = "province_name", by_day
     )
 
 
-def land(docs: DataFrame, path: str, entity: str = "province_name", layout: str = "field") -> None:
-    """Write the documents as JSON lines.
+def land(docs: DataFrame, path: str, entity: str = "province_name", layout: str = "field", pretty: bool = False,
+         append: bool = False) -> None:
+    """Write the documents as JSON lines, or over several lines each with ``pretty``.
 
     ``field`` keeps the entity inside the documents and packs many entities into a file; it suits
     large numbers of entities, and writes documents in the tasks that hold them. ``folder`` gives each
     entity a folder, ``day`` each day, from the column ``day``; there tasks take ranges of (folder, first reading),
     so that a large folder is written by several tasks and a small one by few. ``file`` writes one
     ``<entity>.json`` per entity, each by one task, so a very large entity suits it less than the others.
+    What lies at ``path`` is replaced; ``append`` adds to it, in layouts other than ``file``.
     """
     spark = docs.sparkSession
     if layout not in LAYOUTS:
         raise ValueError(f"cannot write layout {layout!r}")
+    if append and layout == "file":
+        raise ValueError("files named after their entity cannot be added to")
+    mode = "append" if append else "overwrite"
     if layout == "field":
         # Documents are bounded and already spread over tasks, so they are written where they are.
-        docs.write.mode("overwrite").json(path)
+        docs.write.mode(mode).option("pretty", pretty).json(path)
         return
     # Opening files is the work here, which does not show in the bytes AQE goes by.
     n = shuffle_partitions(spark)
     keyed = docs.withColumn("_first", F.col("list").getItem(0)["dt"])
     if layout == "file":
         out = keyed.repartition(n, entity).sortWithinPartitions(entity, "_first").drop("_first")
-        _write_named(out, path, entity)
-        return
-    folder = entity if layout == "folder" else "day"
-    by = [*dict.fromkeys([folder, entity]), "_first", "_tie"]
-    out = keyed.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(n, *by).drop("_first", "_tie")
-    out.write.partitionBy(folder).mode("overwrite").json(path)
+    else:
+        folder = entity if layout == "folder" else "day"
+        by = [*dict.fromkeys([folder, entity]), "_first", "_tie"]
+        out = keyed.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(n, *by)
+        if layout == "folder":
+            out = out.sortWithinPartitions(*by)
+        out = out.drop("_first", "_tie")
+    if layout != "day" and _mounted(spark, path):
+        _write_mounted(out, path, entity, layout, pretty, append)
+    elif layout == "file":
+        _write_named(out, path, entity, pretty)
+    else:
+        out.write.partitionBy(folder).mode(mode).option("pretty", pretty).json(path)
+
+
+def _mounted(spark: SparkSession, path: str) -> str | None:
+    """The path in the file system that all machines share, if ``path`` lies there and not in another store."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    uri = at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toUri()
+    return uri.getPath() if uri.getScheme() == "file" else None
 
 
-def _write_named(docs: DataFrame, path: str, entity: str) -> None:
-    """Write ``<entity>.json`` files, each of which must come from one task.
+def _write_mounted(docs: DataFrame, path: str, entity: str, layout: str, pretty: bool, append: bool) -> None:
+    """Layouts ``file`` and ``folder`` in a mounted file system: tasks write the entities' files under their final names.
+
+    ``docs`` is sorted by entity in every task. Spark's writer takes many calls and processes per file there and moves each
+    in the driver, which is most of the work where a file is small. A file gets its name when it is complete, and a repeated
+    task writes the same files. Unless they are added to, all are written beside ``path`` and take its place at the end.
+    Names that are no visible file name are refused before ``path`` is touched.
+    """
+    spark, job = docs.sparkSession, uuid.uuid4().hex
+    staging = path if append else f"{path.rstrip('/')}-landing-{job}"
+    below, name = _mounted(spark, staging), F.col(entity).cast("string")
+    rest = [F.col(c) for c in docs.columns if c != entity]
+    nameless = name.isNull() | name.isin("", "__HIVE_DEFAULT_PARTITION__") | name.rlike("^[._]|[/:]")
+    text = F.to_json(F.struct(*rest), {"pretty": str(pretty).lower()})
+    texts = docs.select(name.alias("name"), nameless.alias("nameless"), text.alias("text"))
+
+    def folder_name(text: str | None) -> str:
+        """As Spark escapes a column or value in the name of a partition's folder."""
+        special = "[\x01-\x1f\"#%'*/:=?\\\\\x7f{\\[\\]^]"
+        return re.sub(special, lambda c: f"%{ord(c[0]):02X}", text or "") or "__HIVE_DEFAULT_PARTITION__"
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str | None, bool, str]]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 64):
+                yield from zip(*(c.to_pylist() for c in batch.slice(start, 64).columns))
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, refused = TaskContext.get(), []
+        for (name, nameless), documents in groupby(rows(batches), itemgetter(0, 1)):
+            if layout == "file" and nameless:
+                refused = [str(name)]
+                continue
+            place, file = below, f"{name}.json"
+            if layout == "folder":
+                place, file = f"{below}/{folder_name(entity)}={folder_name(name)}", f"part-{task.partitionId():05d}-{job}.json"
+                os.makedirs(place, exist_ok=True)
+            hidden = f"{place}/.{job}-{task.taskAttemptId()}"
+            with open(hidden, "w", encoding="utf-8", newline="") as out:
+                out.writelines(f"{text}\n" for *_, text in documents)
+            os.replace(hidden, f"{place}/{file}")
+        yield pa.RecordBatch.from_arrays([pa.array(refused, pa.string())], ["refused"])
+
+    to_path = spark._jvm.org.apache.hadoop.fs.Path
+    files = to_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(to_path(staging))
+    try:
+        refused = texts.mapInArrow(write, "refused STRING").agg(F.min("refused")).first()[0]
+        if refused is not None:
+            raise ValueError(f"no file can be named after {refused!r}")
+        if not append:
+            files.delete(to_path(path), True)
+            if not files.rename(to_path(staging), to_path(path)):
+                raise OSError(f"cannot write {path}")
+    finally:
+        if not append:
+            files.delete(to_path(staging), True)
+
+
+def _write_named(docs: DataFrame, path: str, entity: str, pretty: bool = False) -> None:
+    """Write ``<entity>.json`` files, each of which must come from one task, in any store that Spark can write.
 
     Spark names files itself, so they are written beside ``path``, one folder per entity, and renamed when all are
     complete. Only names pass the driver. Names that are no visible file name are refused before ``path`` is touched.
     """
     spark = docs.sparkSession
     staging = f"{path.rstrip('/')}-landing-{uuid.uuid4().hex}"
-    docs.write.partitionBy(entity).option("maxRecordsPerFile", 0).json(staging)
+    docs.write.partitionBy(entity).option("maxRecordsPerFile", 0).option("pretty", pretty).json(staging)
     to_path = spark._jvm.org.apache.hadoop.fs.Path
     files = to_path(staging).getFileSystem(spark._jsc.hadoopConfiguration())
     try:
@@ -163,6 +246,18 @@ def _entity_of_file(entity: str) -> Column:
     return F.regexp_extract(name, r"^(.*)\.json$", 1).alias(entity)
 
 
+@contextmanager
+def _few_listers(spark: SparkSession) -> Iterator[None]:
+    """Within, folders are listed by some tasks per core, not by up to 10,000, whose start is most of the time."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    spark.conf.set(key, min(int(before), 8 * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def read_landed(spark: SparkSession, path: str, entity: str = "province_name", layout: str = "file",
                 files: bool = False) -> DataFrame:
     """All documents in one relation with the explicit raw schema; fields not in it are not parsed.
@@ -180,7 +275,8 @@ def read_landed(spark: SparkSession, path: str, entity: str = "province_name", l
         docs = reader.schema(fields).json(path).select("*", _entity_of_file(entity), *place)
     else:
         day = ", day DATE" if layout == "day" else ""
-        docs = reader.schema(f"{fields}, `{entity}` STRING{day}").json(path).select("*", *place)
+        with _few_listers(spark):
+            docs = reader.schema(f"{fields}, `{entity}` STRING{day}").json(path).select("*", *place)
     # A value too wide for its type also counts as corrupt to the reader, but leaves the other fields.
     return docs.withColumn("corrupt", F.col("_corrupt").isNotNull() & F.col("list").isNull()).drop("_corrupt")
 
@@ -196,7 +292,8 @@ def landed_files(spark: SparkSession, path: str, entity: str = "province_name",
     if layout == "file":
         return reader.load(path).select(_entity_of_file(entity), size)
     if layout == "folder":
-        return reader.schema(f"{listing}, `{entity}` STRING").load(path).select(entity, size)
+        with _few_listers(spark):
+            return reader.schema(f"{listing}, `{entity}` STRING").load(path).select(entity, size)
     raise ValueError(f"layout {layout!r} does not name entities in paths")
 
 
@@ -245,7 +342,8 @@ def read_whole(spark: SparkSession, path: str, broken: DataFrame, entity: str =
     if layout == "file":
         texts = reader.text(path, wholetext=True).select("value", file, _entity_of_file(entity))
     elif layout == "folder":
-        texts = reader.schema(f"value STRING, `{entity}` STRING").text(path, wholetext=True).select("value", file, entity)
+        with _few_listers(spark):
+            texts = reader.schema(f"value STRING, `{entity}` STRING").text(path, wholetext=True).select("value", file, entity)
     else:
         texts = reader.schema("value STRING" + (", day DATE" if layout == "day" else "")).text(path, wholetext=True).select(
             "value", file, F.lit(None).cast("string").alias(entity))

@@ -122,3 +122,52 @@ def test_documents_go_on_over_batches(spark):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert sorted(i.id for d in docs for i in d["items"]) == list(range(10_000))
     assert len(docs) <= 4 + 3 + 4  # full ones, and one more for each of the tasks' ends
+
+
+def landed_docs(spark, names):
+    return spark.createDataFrame([(n, i, k) for i, n in enumerate(names) for k in range(3)], "province_name STRING, i INT, k LONG").selectExpr(
+        "province_name", "struct(cast(i as decimal(10,4)) as lon, cast(2 as decimal(10,4)) as lat) AS coord",
+        "array(struct(struct(cast(k as decimal(10,2)) as pm2_5) as components, k as dt)) AS list")
+
+
+@pytest.mark.parametrize("layout", ["file", "folder"])
+def test_files_in_a_mounted_store_are_named_by_tasks(spark, tmp_path, monkeypatch, layout):
+    """No file passes Spark's writer, whose commit moves each in the driver, and folders are as Spark's writer names them."""
+    names = ["Station 1", "A+B 100%", "x=y'#*?", "back\\slash [1]^{2}"]
+    docs, path = landed_docs(spark, names), str(tmp_path / "landed")
+    old = tmp_path / "old"
+    docs.write.partitionBy("province_name").json(str(old))
+    with monkeypatch.context() as m:
+        m.setattr(type(docs.write), "json", lambda *a, **k: pytest.fail("written by Spark's writer"))
+        for _ in range(2):  # the second time over the first
+            landing.land(docs, path, layout=layout)
+    if layout == "folder":
+        assert {p.name for p in (tmp_path / "landed").iterdir()} == {p.name for p in old.glob("province_name=*")}
+    rows = landing.explode_readings(landing.read_landed(spark, path, layout=layout))
+    assert {r[0]: r[1] for r in rows.groupBy("province_name").count().collect()} == dict.fromkeys(names, 3)
+    assert not [p for p in tmp_path.rglob("*") if "-landing-" in p.name or p.name.startswith(".")
+                and not p.name.endswith(".crc") and old not in p.parents]
+
+
+def test_pretty_documents_are_added_to_folders(spark, tmp_path):
+    path = str(tmp_path / "landed")
+    landing.land(landed_docs(spark, ["a", None]), path, layout="folder", pretty=True, append=True)
+    landing.land(landed_docs(spark, ["b", ""]), path, layout="folder", append=True)
+    assert {p.name for p in (tmp_path / "landed").iterdir()} == {
+        "province_name=a", "province_name=b", "province_name=__HIVE_DEFAULT_PARTITION__"}
+    assert "\n  " in next((tmp_path / "landed" / "province_name=a").glob("*.json")).read_text()
+    with pytest.raises(ValueError, match="cannot be added"):
+        landing.land(landed_docs(spark, ["a"]), path, layout="file", append=True)
+
+
+def test_landing_lists_folders_with_few_tasks(spark, tmp_path):
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before, path = spark.conf.get(key), str(tmp_path / "landed")
+    landing.land(landed_docs(spark, [f"P{k}" for k in range(150)]), path, layout="folder")
+    spark.sparkContext.setJobGroup("listing", "")
+    landing.read_landed(spark, path, layout="folder")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    assert 0 < max(tracker.getStageInfo(s).numTasks for s in stages) <= 32
+    assert spark.conf.get(key) == before
