@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from hourstar.functions.values import round_reading
-from hourstar.operators.grid import Grid, hourly_spine
+from hourstar.operators.grid import Grid, hourly_spine, int_div
 from hourstar.operators.keys import first_row
 
 
@@ -109,6 +111,29 @@ def impute(df: DataFrame, means: DataFrame, entity: str, columns: Sequence[str],
     return df.join(means, entity, "left").withColumns(filled).select(*df.columns)
 
 
+def _rolling(value: str, kind: str, order: WindowSpec, rows: int) -> Column:
+    """The mean of the current and the ``rows - 1`` preceding rows, in the type of the values.
+
+    A frame that moves at both ends is added up anew for every row, in big decimals. Of decimals that fit, running sums
+    up to this row and up to the one before the frame are taken as integers; their difference is exact. It is divided
+    as ``avg`` does: rounded half up to four more places, then to the type.
+    """
+    fits = re.fullmatch(r"decimal\((\d+),(\d+)\)", kind)
+    if not fits or int(fits[1]) > 12 or rows > 100:
+        return F.avg(value).over(order.rowsBetween(1 - rows, Window.currentRow)).cast(kind)
+    scale, own = int(fits[2]), F.col(value)
+    unit = F.coalesce((own * F.lit(10**scale)).cast("long"), F.lit(0))
+
+    def framed(column: Column) -> Column:
+        till = F.sum(column).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return till - F.coalesce(F.sum(column).over(order.rowsBetween(Window.unboundedPreceding, -rows)), F.lit(0))
+
+    total, n = framed(unit), framed(own.isNotNull().cast("long"))
+    fine = int_div(F.abs(total) * 20_000 + n, n * 2)
+    units = F.sign(total).cast("long") * int_div(fine + 5000, 10_000)
+    return F.when(n > 0, (units.cast("decimal(18,0)") * F.lit(Decimal(1).scaleb(-scale))).cast(kind))
+
+
 def rolling_mean(df: DataFrame, entity: str, time: str, value: str, grid: Grid, rows: int = 24,
                  out: str = "rolling_mean", n_entities: int | None = None) -> DataFrame:
     """Mean over the current and the ``rows - 1`` preceding rows of a complete series.
@@ -121,12 +146,12 @@ def rolling_mean(df: DataFrame, entity: str, time: str, value: str, grid: Grid,
     if halo > grid.chunk:
         raise ValueError("a chunk must be at least as long as the window")
     slot = F.col("_slot")
-    frame = Window.partitionBy(entity, "_chunk").orderBy("_slot").rowsBetween(-halo, Window.currentRow)
+    order = Window.partitionBy(entity, "_chunk").orderBy("_slot")
     return (
         df.withColumn("_slot", grid.slot_of(F.col(time)))
         .withColumn("_chunk", F.explode(grid.chunks_needing(slot, halo)))
         .repartition(grid.partitions(df.sparkSession, n_entities), entity, "_chunk")
-        .withColumn(out, F.avg(value).over(frame).cast(sql_type(df, value)))
+        .withColumn(out, _rolling(value, sql_type(df, value), order, rows))
         .filter(grid.chunk_of(slot) == F.col("_chunk"))
         .drop("_slot", "_chunk")
     )
@@ -210,5 +235,5 @@ def rolled_chunks(anchors: DataFrame, kept: DataFrame, *, entity: str, fill: Map
         entity, "_chunk", "_hour", own.alias("_own"),
         *[F.coalesce(F.when(own, F.col(c)), F.col(f"_mean_{c}")).cast(t).alias(c) for c, t in fill.items()],
     )
-    frame = Window.partitionBy(entity, "_chunk").orderBy("_hour").rowsBetween(-halo, Window.currentRow)
-    return filled.withColumn(rolling, F.avg(value).over(frame).cast(fill[value])).filter(F.col("_hour") >= grid.chunk_start(chunk))
+    order = Window.partitionBy(entity, "_chunk").orderBy("_hour")
+    return filled.withColumn(rolling, _rolling(value, fill[value], order, halo + 1)).filter(F.col("_hour") >= grid.chunk_start(chunk))

@@ -180,3 +180,19 @@ def test_nothing_generated_is_shuffled_and_no_exchange_is_by_the_entity_alone(sp
         assert joins and all("e#" in line for line in joins)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_rolling_mean_takes_running_sums_and_rounds_as_avg(spark):
+    from pyspark.sql import Window
+
+    rows = spark.range(0, 3000, 1, 3).select(
+        (F.col("id") % 3).alias("e"), (F.lit("2024-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(hours=(F.col("id") / 3).cast("int"))).alias("t"),
+        F.when((F.col("id") % 7 > 1) & (F.col("id") > 90), ((F.hash("id") % 100_003) / 10).cast("decimal(10,1)")).alias("v"))
+    grid = Grid("2024-01-01 00:00:00", "2024-02-11 15:00:00", chunk=100)
+    out = series.rolling_mean(rows, "e", "t", "v", grid, out="mean")
+    frame = Window.partitionBy("e").orderBy("t").rowsBetween(-23, 0)
+    want = rows.withColumn("mean", F.avg("v").over(frame).cast("decimal(10,1)"))
+    assert out.schema["mean"].dataType == want.schema["mean"].dataType
+    assert out.select(want.columns).exceptAll(want).isEmpty() and out.count() == 3000
+    assert out.where("mean IS NULL").count() > 0 and out.where("mean < 0").count() > 0
+    assert "-23" not in out._jdf.queryExecution().optimizedPlan().toString()
