@@ -38,12 +38,19 @@ def dense_key(df: DataFrame, order: Sequence[str], key: str, key_type: str = "in
     )
 
 
-def lookup_join(df: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str = "inner") -> DataFrame:
-    """Join a lookup table. No job runs and nothing is hinted.
+def lookup_join(df: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str = "inner", hashed: bool = False) -> DataFrame:
+    """Join a lookup table. No job runs and nothing is hinted, save for ``hashed``.
 
     The planner broadcasts a side whose size is known to be small, AQE one that turns out to be;
-    beyond that it is a shuffle join, where AQE splits skewed partitions of ``df``.
+    beyond that it is a shuffle join, where AQE splits skewed partitions of ``df``. ``hashed`` is for lookups of one row per
+    key and known size: if that is too large to broadcast, a task hashes its share of the lookup and passes ``df`` by, where
+    it would otherwise sort its share of ``df``.
     """
+    if hashed:
+        session = df.sparkSession._jsparkSession.sessionState()
+        size = int(str(lookup._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        if size > session.conf().autoBroadcastJoinThreshold():
+            lookup = lookup.hint("shuffle_hash")
     return df.join(lookup, on, how)
 
 

@@ -53,9 +53,9 @@ def dim_time(df: DataFrame, time: str) -> DataFrame:
 def fact(df: DataFrame, dim: DataFrame, entity: str, time: str, key: str, measures: Sequence[str]) -> DataFrame:
     """Fact rows with date and time keys, and the entity name replaced by its number.
 
-    The keys are their zero-padded text. Whether ``dim`` is broadcast is left to its size.
+    The keys are their zero-padded text. Whether ``dim``, best a stored table, is broadcast is left to its size.
     """
-    return lookup_join(df, dim.select(entity, key), entity).select(
+    return lookup_join(df, dim.select(entity, key), entity, hashed=True).select(
         F.date_format(time, "yyyyMMdd").alias("record_date"),
         F.date_format(time, "HH").alias("record_time"),
         key,
@@ -79,4 +79,4 @@ def star_join(fact_df: DataFrame, dates: DataFrame, times: DataFrame, entities:
         calendar, on = with_period(calendar, period), ["record_date", "period"]
     by_day = lookup_join(fact_df, calendar, on).drop(*on[1:])
     by_hour = lookup_join(by_day, times.withColumnRenamed("time_key", "record_time"), "record_time")
-    return lookup_join(by_hour, entities, key)
+    return lookup_join(by_hour, entities, key, hashed=True)

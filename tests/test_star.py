@@ -166,3 +166,21 @@ def test_split_tables_keep_nulls_cut_hot_values_and_refuse_empty_ones(spark, tmp
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     assert len(list((tmp_path / "t" / "p=hot").glob("part-*"))) > 4
     assert spark.read.parquet(path).count() == 400_000
+
+
+def test_a_large_dimension_is_hashed_and_the_fact_not_sorted(spark, tmp_path):
+    """Sorting its share of the fact took most of a task's memory."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+    try:
+        hours = spark.range(2000).selectExpr(
+            "concat('S', id % 50) AS station", "timestamp'2024-01-01 00:00:00' + make_interval(0,0,0,0,id) AS datetime", "id AS v")
+        star.dim_entity(hours, "station", "station_id").write.parquet(str(tmp_path / "dim"))
+        dim = spark.read.parquet(str(tmp_path / "dim"))
+        fact = star.fact(hours, dim, "station", "datetime", "station_id", ["v"])
+        joined = star.star_join(fact, star.dim_date(hours, "datetime"), star.dim_time(hours, "datetime"), dim, "station_id")
+        plan = joined._jdf.queryExecution().sparkPlan().toString()
+        assert plan.count("ShuffledHashJoin") == 2
+        assert joined.join(hours, ["station", "v"]).count() == 2000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
