@@ -236,4 +236,6 @@ def rolled_chunks(anchors: DataFrame, kept: DataFrame, *, entity: str, fill: Map
         *[F.coalesce(F.when(own, F.col(c)), F.col(f"_mean_{c}")).cast(t).alias(c) for c, t in fill.items()],
     )
     order = Window.partitionBy(entity, "_chunk").orderBy("_hour")
-    return filled.withColumn(rolling, _rolling(value, fill[value], order, halo + 1)).filter(F.col("_hour") >= grid.chunk_start(chunk))
+    rolled = filled.withColumn("_rolled", _rolling(value, fill[value], order, halo + 1))
+    # Behind a generator, so that conditions on the mean do not repeat its arithmetic.
+    return rolled.withColumn(rolling, F.explode(F.array("_rolled"))).drop("_rolled").filter(F.col("_hour") >= grid.chunk_start(chunk))

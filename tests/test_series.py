@@ -196,3 +196,12 @@ def test_rolling_mean_takes_running_sums_and_rounds_as_avg(spark):
     assert out.select(want.columns).exceptAll(want).isEmpty() and out.count() == 3000
     assert out.where("mean IS NULL").count() > 0 and out.where("mean < 0").count() > 0
     assert "-23" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_conditions_on_the_rolling_mean_do_not_repeat_its_arithmetic(spark):
+    rows = spark.range(100).selectExpr("0 AS e", "timestamp'2024-01-01 00:00:00' + make_interval(0,0,0,0,id) AS t", "cast(id AS decimal(10,1)) AS v", "id AS o")
+    out = series.complete_series(rows, rows.select("e"), entity="e", time="t", value="v", order="o",
+                                 grid=Grid("2024-01-01 00:00:00", "2024-01-05 03:00:00"), rolling="m")
+    few = out.where("m > 3 AND m < 90 AND m IS NOT NULL")
+    assert few._jdf.queryExecution().optimizedPlan().toString().count("* 20000") <= 1
+    assert few.count() == out.count() - out.where("m <= 3 OR m >= 90").count()
